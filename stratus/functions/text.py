@@ -23,7 +23,7 @@ def _col(value: Column | str) -> Column:
 def split_trim(text: Column | str, separator: str = ",") -> Column:
     """Items of a separated list, trimmed, empty ones removed."""
     pieces = F.split(_col(text), separator)
-    return F.filter(F.transform(pieces, F.trim), lambda item: item != "")
+    return F.filter(F.transform(pieces, lambda item: F.trim(item)), lambda item: item != "")
 
 
 def object_key(source: Column | str, city: Column | str, at: Column | str) -> Column:

@@ -9,19 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Keeps microseconds, which the default CSV formats cut.
+CSV_OPTIONS = {
+    "header": True,
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def export_parquet(df: DataFrame, path: str, compression: str = "zstd") -> str:
     df.write.mode("errorifexists").option("compression", compression).parquet(path)
     return path
 
 
 def export_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("errorifexists").option("header", True).option("quoteAll", True).csv(path)
+    df.write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
     return path
 
 
 def read_csv_export(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """Read a CSV export with the schema of the frame it came from."""
-    return spark.read.schema(like.schema).option("header", True).csv(path)
+    return spark.read.schema(like.schema).options(**CSV_OPTIONS).csv(path)
 
 
 def write_report(results: DataFrame, path: str, name: str, run_at: datetime | str) -> None:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from stratus.streaming.jobs import event_time
+
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -24,7 +26,7 @@ def evaluated_ticks(
     """
     rows = samples.withColumn("_truth", F.coalesce(condition, F.lit(False)))
     if lateness is not None:
-        rows = rows.withWatermark(ts, lateness)
+        rows = event_time(rows, ts, lateness)
     ticks = rows.groupBy(*keys, F.window(ts, f"{tick_seconds} seconds")).agg(
         F.max_by("_truth", F.struct(ts, tiebreak)).alias("truth")
     )
@@ -75,8 +77,7 @@ def held_alerts(
     Ticks are closed by the watermark and then reach the per-series state in
     order. Set the session's state provider with ``use_keyed_state`` first.
     """
-    timed = samples.withColumn(ts, F.col(ts).cast("timestamp"))
-    ticks = evaluated_ticks(timed, keys, condition, tick_seconds, ts, tiebreak, lateness)
+    ticks = evaluated_ticks(samples, keys, condition, tick_seconds, ts, tiebreak, lateness)
     types = dict(ticks.dtypes)
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", held_since timestamp, fired_at timestamp"
     return ticks.groupBy(*keys).transformWithStateInPandas(

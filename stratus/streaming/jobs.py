@@ -11,6 +11,11 @@ from stratus.plans.marts import condition_parts
 PART_KEYS = ["city_name", "date_day", "weather_condition"]
 
 
+def event_time(rows: DataFrame, ts: str, lateness: str) -> DataFrame:
+    """Watermarked rows; a watermark needs a zoned time, so local times are read in the session zone."""
+    return rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
+
+
 def daily_parts(observations: DataFrame, ts: str = "measured_at", lateness: str = "7 days") -> DataFrame:
     """Daily parts per city and condition, kept up to date (update mode).
 
@@ -18,7 +23,7 @@ def daily_parts(observations: DataFrame, ts: str = "measured_at", lateness: str
     The watermark bounds the state to the days that may still change.
     """
     day = F.window(ts, "1 day")
-    parts = condition_parts(observations.withWatermark(ts, lateness), day)
+    parts = condition_parts(event_time(observations, ts, lateness), day)
     return parts.withColumn("date_day", F.col("window.start").cast("timestamp_ntz")).drop("window")
 
 
@@ -31,7 +36,7 @@ def sliding_totals(
     Every row takes part in ``window / step`` windows, so choose the step no
     finer than needed; the copies are combined per task before the shuffle.
     """
-    windows = samples.withWatermark(ts, lateness).groupBy(*keys, F.window(ts, window, step))
+    windows = event_time(samples, ts, lateness).groupBy(*keys, F.window(ts, window, step))
     totals = windows.agg(F.sum(value).alias("total"), F.count(value).alias("samples"))
     bounds = {f"window_{side}": F.col(f"window.{side}").cast("timestamp_ntz") for side in ("start", "end")}
     return totals.withColumns(bounds).drop("window")
@@ -43,7 +48,7 @@ def per_second(totals: DataFrame, window_seconds: float) -> DataFrame:
 
 def drop_repeats(rows: DataFrame, row_id: str, ts: str, lateness: str = "7 days") -> DataFrame:
     """First arrival of every row id; ids are forgotten once the watermark has passed them."""
-    return rows.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([row_id])
+    return event_time(rows, ts, lateness).dropDuplicatesWithinWatermark([row_id])
 
 
 def contract_stream(rows: DataFrame, raw: str, contract: Contract) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from stratus.session import work_path
 
@@ -52,7 +52,7 @@ def upsert_to(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 def latest_rows(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> DataFrame:
     """Current rows of an ``upsert_to`` table: per key the row of the newest batch."""
-    rows = spark.read.schema(schema.add("batch_id", "bigint")).parquet(path)
+    rows = spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())])).parquet(path)
     values = [c for c in rows.columns if c not in (*keys, "batch_id")]
     newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_row"))
     return newest.select(*keys, "_row.*")

@@ -39,7 +39,7 @@ def daily_sql(source: str) -> str:
 condition_counts AS (
   SELECT city_name, date_day, weather_condition, row_number() OVER (
     PARTITION BY city_name, date_day ORDER BY count(*) DESC, weather_condition) AS place
-  FROM {source} WHERE weather_condition IS NOT NULL GROUP BY ALL
+  FROM {source} WHERE weather_condition IS NOT NULL GROUP BY city_name, date_day, weather_condition
 ),
 daily AS (
   SELECT s.city_name, s.date_day,
@@ -95,7 +95,7 @@ SELECT CASE WHEN f <> 3 THEN event_type END AS city_name, cast(NULL AS varchar)
   CASE WHEN f NOT IN (0, 4, 7) THEN 60 END::bigint AS humidity_percent,
   CASE WHEN f <> 6 THEN cast(user_id % 30 AS double) END AS wind_speed_ms,
   CASE WHEN f <> 6 THEN event_type END AS weather_condition,
-  CASE WHEN f <> 6 THEN 1.5e0 END AS latitude, CASE WHEN f <> 6 THEN cast(user_id % 90 AS double) END AS longitude,
+  1.5e0 AS latitude, cast(user_id % 90 AS double) AS longitude,
   CASE WHEN f <> 5 THEN date_trunc('second', ts) END AS measured_at,
   cast(event_id AS varchar) AS row_id, 'load-1' AS load_id
 FROM (SELECT *, event_id % 10 AS f FROM events) WHERE f <> 2
@@ -452,9 +452,8 @@ def row_to_json(spark, sf_dir):
 
 
 @query("split_trim", """
-SELECT event_id, list_aggregate(list_filter(list_transform(string_split(
-  ' ' || event_type || ' ,, city_' || cast(user_id % 20 AS varchar) || ', ', ','), x -> trim(x)), x -> x <> ''),
-  'string_agg', '|') AS items
+SELECT event_id, array_to_string([trim(x) FOR x IN string_split(
+  ' ' || event_type || ' ,, city_' || cast(user_id % 20 AS varchar) || ', ', ',') IF trim(x) <> ''], '|') AS items
 FROM events
 """)
 def split_and_trim(spark, sf_dir):

@@ -409,7 +409,7 @@ def alert_groups(spark, sf_dir):
 @query("alert_throttle", with_views("metrics", f"""
 WITH RECURSIVE ticks AS (
   SELECT alertname, severity, epoch_us(ts) // 15000000 * 15000000 AS tick, count(*) AS n,
-    CASE severity WHEN 'critical' THEN 3600 ELSE 14400 END * 1000000 AS gap
+    cast(CASE severity WHEN 'critical' THEN 3600 ELSE 14400 END AS bigint) * 1000000 AS gap
   FROM ({FIRED}) GROUP BY ALL
 ),
 hops AS (

@@ -50,7 +50,7 @@ parsed AS (
   SELECT event_id, ts, CASE WHEN json_valid(raw_json) THEN cast(raw_json AS json) END AS doc FROM payloads),
 checked AS (
   SELECT event_id, ts, doc IS NULL AS malformed, CASE WHEN doc IS NOT NULL THEN
-    list_filter([{', '.join(_error_cases(CURRENT_CONTRACT.fields))}], x -> x IS NOT NULL) END AS errors
+    [x FOR x IN [{', '.join(_error_cases(CURRENT_CONTRACT.fields))}] IF x IS NOT NULL] END AS errors
   FROM parsed)
 """
 
@@ -58,8 +58,8 @@ checked AS (
 def _joined(condition: str) -> str:
     return with_views("payloads", f"""
 WITH {CHECKED}
-SELECT event_id, coalesce(list_aggregate(list_filter(errors, x -> {condition}), 'string_agg', '; '),
-  CASE WHEN NOT malformed THEN '' END) AS errors FROM checked
+SELECT event_id, CASE WHEN NOT malformed THEN array_to_string([x FOR x IN errors IF {condition}], '; ') END AS errors
+FROM checked
 """)
 
 

@@ -55,13 +55,14 @@ def stream_dedup(spark, sf_dir):
     twice = event_stream(spark, sf_dir).select(
         F.col("event_id").cast("string").alias("row_id"), "ts", F.explode(F.array(F.lit(1), F.lit(2))).alias("arrival")
     )
-    return running.finish_append(jobs.drop_repeats(twice.drop("arrival"), "row_id", "ts"), "dedup")
+    kept = running.finish_append(jobs.drop_repeats(twice.drop("arrival"), "row_id", "ts"), "dedup")
+    return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("stream_contract", with_views("payloads", f"""
 WITH {quality.CHECKED}
 SELECT CASE WHEN malformed OR len(errors) > 0 THEN 'quarantine' ELSE 'valid' END AS target, malformed,
-  list_aggregate(errors, 'string_agg', '; ') AS errors, count(*) AS "rows"
+  nullif(array_to_string(errors, '; '), '') AS errors, count(*) AS "rows"
 FROM checked GROUP BY ALL
 """))
 def stream_contract(spark, sf_dir):
