@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Pattern, metric name, names of the labels its stars stand for.
@@ -53,24 +53,33 @@ METRIC_RULES = (
 UNMAPPED = "unmapped"
 
 
-def map_metric_name(dotted: Column | str, rules=METRIC_RULES) -> Column:
-    """Struct of ``name`` and ``labels`` for a dotted metric name.
+def with_metric_name(df: DataFrame, dotted: str, into: str = "mapped", rules=METRIC_RULES) -> DataFrame:
+    """Add a struct of ``name`` and ``labels`` for a dotted metric name.
 
-    Names are split once and compared segment by segment, so a row costs a
-    few string equalities and no regular expression per rule.
+    Names are split once, in a projection of their own, and compared segment by
+    segment, so a row costs a few string equalities and no regular expression.
     """
-    dotted = F.col(dotted) if isinstance(dotted, str) else dotted
-    parts = F.split(dotted, "\\.")
     labels_type = "map<string,string>"
 
-    def outcome(pattern: str, name: str, labels: tuple[str, ...]) -> Column:
+    def segment(i: int) -> Column:
+        return F.get("_parts", F.lit(i))
+
+    def outcome(pattern: str, name: str, labels: tuple[str, ...]) -> tuple[Column, Column]:
         segments = pattern.split(".")
-        fixed = [F.get(parts, F.lit(i)) == s for i, s in enumerate(segments) if s != "*"]
-        stars = [F.get(parts, F.lit(i)) for i, s in enumerate(segments) if s == "*"]
-        matches = reduce(lambda a, b: a & b, fixed, F.size(parts) == len(segments))
+        if "*" not in segments:
+            matches = F.col(dotted) == pattern
+        else:
+            tests = [segment(i) == s for i, s in enumerate(segments) if s != "*"]
+            matches = reduce(lambda a, b: a & b, tests, F.size("_parts") == len(segments))
+        stars = [segment(i) for i, s in enumerate(segments) if s == "*"]
         pairs = [x for label, star in zip(labels, stars) for x in (F.lit(label), star)]
         found = F.create_map(*pairs) if pairs else F.create_map()
-        return F.when(matches, F.struct(F.lit(name).alias("name"), found.cast(labels_type).alias("labels")))
+        return matches, F.struct(F.lit(name).alias("name"), found.cast(labels_type).alias("labels"))
 
+    first, *others = [outcome(*rule) for rule in rules]
+    chain = F.when(*first)
+    for rule in others:
+        chain = chain.when(*rule)
     fallback = F.struct(F.lit(UNMAPPED).alias("name"), F.create_map().cast(labels_type).alias("labels"))
-    return F.coalesce(*[outcome(*rule) for rule in rules], fallback)
+    split = df.withColumn("_parts", F.split(dotted, "\\."))
+    return split.withColumn(into, chain.otherwise(fallback)).drop("_parts")

@@ -69,14 +69,19 @@ FORECAST_CONTRACT = Contract(
     max_age_minutes=360,
 )
 
-# Which JSON kinds satisfy a declared type. A boolean counts as a whole number.
+# Shape of a JSON value to the kind name used in messages; every other shape is a float.
+KIND_NAMES = {
+    "OBJECT": "dict", "ARRAY": "list", "STRING": "str", "BIGINT": "int", "BOOLEAN": "bool", "VOID": "NoneType",
+}
+FLOAT_SHAPES = ("DOUBLE", "DECIMAL", "FLOAT")
+# Which shapes satisfy a declared type. A boolean counts as a whole number.
 ACCEPTED = {
-    "string": ("str",),
-    "integer": ("int", "bool"),
-    "number": ("int", "float", "bool"),
-    "boolean": ("bool",),
-    "array": ("list",),
-    "object": ("dict",),
+    "string": ("STRING",),
+    "integer": ("BIGINT", "BOOLEAN"),
+    "number": ("BIGINT", "BOOLEAN", *FLOAT_SHAPES),
+    "boolean": ("BOOLEAN",),
+    "array": ("ARRAY",),
+    "object": ("OBJECT",),
 }
 
 
@@ -101,74 +106,104 @@ def load_contract(path: str | Path) -> Contract:
         return contract_from_dict(yaml.safe_load(handle))
 
 
-def json_kind(value: Column) -> Column:
-    """Kind name of a JSON value, as reported in messages."""
-    shape = F.schema_of_variant(value)
-    return (
-        F.when(shape.startswith("OBJECT"), "dict")
-        .when(shape.startswith("ARRAY"), "list")
-        .when(shape == "BIGINT", "int")
-        .when(shape == "STRING", "str")
-        .when(shape == "BOOLEAN", "bool")
-        .when(shape == "VOID", "NoneType")
-        .otherwise("float")
-    )
+def json_shape(value: Column) -> Column:
+    """Outermost shape of a VARIANT value, such as ``OBJECT`` or ``BIGINT``; NULL when there is none."""
+    full = F.schema_of_variant(value)
+    return F.substring_index(F.substring_index(full, "<", 1), "(", 1)
+
 
+def kind_name(shape: Column) -> Column:
+    names = F.create_map(*[F.lit(x) for pair in KIND_NAMES.items() for x in pair])
+    return F.when(shape.isNotNull(), F.coalesce(F.try_element_at(names, shape), F.lit("float")))
 
-def _is_object(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
+@dataclass(frozen=True)
+class _Node:
+    """A field of the contract tree with its place in the flattened order."""
+
+    spec: Field
+    path: str
+    shown: str
+    parent: int | None
 
-def _accepts(kind: str, value: Column) -> Column:
-    # Containers are tested one level deep; their inner shape is not needed.
-    if kind == "object":
-        return _is_object(value)
-    if kind == "array":
-        return F.try_variant_get(value, "$", "array<variant>").isNotNull()
-    return json_kind(value).isin(*ACCEPTED[kind])
 
+def _flatten(fields: tuple[Field, ...], nodes: list[_Node], path: str = "$", shown: str = "",
+             parent: int | None = None) -> list[_Node]:
+    for spec in fields:
+        here = _Node(spec, f"{path}['{spec.name}']", f"{shown}.{spec.name}" if shown else spec.name, parent)
+        nodes.append(here)
+        if spec.type == "object" and spec.fields:
+            _flatten(spec.fields, nodes, here.path, here.shown, len(nodes) - 1)
+    return nodes
 
-def _field_errors(spec: Field, document: Column, json_path: str, shown: str, reachable: Column | None) -> list[Column]:
-    path = f"{json_path}['{spec.name}']"
-    shown = f"{shown}.{spec.name}" if shown else spec.name
-    value = F.try_variant_get(document, path, "variant")
-    absent = value.isNull() if reachable is None else reachable & value.isNull()
-    error = F.when(absent, F.lit(f"Missing required field: {shown}" if spec.required else None).cast("string"))
-    errors = []
+
+def _rule(i: int, node: _Node) -> Column:
+    spec = node.spec
+    mismatch = accepted = None
     if spec.type in ACCEPTED:
-        message = F.concat(F.lit(f"Type mismatch at {shown}: expected {spec.type}, got "), json_kind(value))
-        error = error.when(value.isNotNull() & ~_accepts(spec.type, value), message)
-    errors.append(error)
-    if spec.type == "object" and spec.fields:
-        inside = _is_object(value)
-        for child in spec.fields:
-            errors += _field_errors(child, document, path, shown, inside)
-    return errors
-
-
-def contract_errors(document: Column | str, contract: Contract) -> Column:
-    """Error texts of a VARIANT document in contract order; NULL when there is no document."""
-    document = F.col(document) if isinstance(document, str) else document
-    found: list[Column] = []
-    for spec in contract.fields:
-        found += _field_errors(spec, document, "$", "", None)
-    errors = F.filter(F.array(*found), lambda e: e.isNotNull())
-    return F.when(document.isNotNull(), errors)
+        mismatch = f"Type mismatch at {node.shown}: expected {spec.type}, got "
+        accepted = list(ACCEPTED[spec.type])
+    return F.struct(
+        F.lit(i).alias("place"),
+        F.lit(node.parent).cast("int").alias("parent"),
+        F.lit(f"Missing required field: {node.shown}" if spec.required else None).cast("string").alias("missing"),
+        F.lit(mismatch).cast("string").alias("mismatch"),
+        F.lit(accepted).cast("array<string>").alias("accepted"),
+    )
+
+
+def _error(rule: Column) -> Column:
+    shape = F.get("_shapes", rule["place"])
+    # Below something that is not an object there is nothing to miss.
+    reachable = rule["parent"].isNull() | F.get("_shapes", rule["parent"]).eqNullSafe(F.lit("OBJECT"))
+    wrong = rule["mismatch"].isNotNull() & ~F.array_contains(rule["accepted"], shape)
+    return F.when(shape.isNull(), F.when(reachable, rule["missing"])).when(
+        wrong, F.concat(rule["mismatch"], kind_name(shape))
+    )
 
 
 def check_contract(df: DataFrame, raw: str, contract: Contract) -> DataFrame:
-    """Add ``malformed`` and ``contract_errors``; every row is kept."""
-    checked = df.withColumn("_doc", F.try_parse_json(raw))
-    return checked.withColumns({
-        "malformed": F.col("_doc").isNull(),
-        "contract_errors": contract_errors("_doc", contract),
-    }).drop("_doc")
+    """Add ``malformed`` and ``contract_errors`` (in contract order); every row is kept.
+
+    The text is parsed once and every field's shape is taken once. The rules
+    are one constant array that is mapped to messages, so the generated code
+    stays small enough to be compiled, however long the contract. The shapes
+    pass through a one-row generator, which the optimizer does not see through:
+    a later filter on the errors would otherwise repeat the parsing.
+    """
+    nodes = _flatten(contract.fields, [])
+    shapes = F.array(*[json_shape(F.try_variant_get("_doc", node.path, "variant")) for node in nodes])
+    parsed = df.withColumn("_doc", F.try_parse_json(raw)).select(
+        *df.columns, F.inline(F.array(F.struct(F.col("_doc").isNull().alias("malformed"), shapes.alias("_shapes"))))
+    )
+    rules = F.array(*[_rule(i, node) for i, node in enumerate(nodes)])
+    found = F.filter(F.transform(rules, lambda rule: _error(rule)), lambda error: error.isNotNull())
+    return parsed.withColumn("contract_errors", F.when(~F.col("malformed"), found)).drop("_shapes")
+
+
+def keeps_contract() -> Column:
+    return ~F.col("malformed") & (F.size("contract_errors") == 0)
 
 
 def split_quarantine(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows that keep the contract, and rows that do not or did not parse."""
-    valid = ~F.col("malformed") & (F.size("contract_errors") == 0)
-    return checked.where(valid), checked.where(~valid)
+    """Rows that keep the contract, and rows that do not or did not parse.
+
+    For large inputs write ``with_target`` once, partitioned by ``target``, and
+    read the two folders: then the payloads are parsed only once.
+    """
+    return checked.where(keeps_contract()), checked.where(~keeps_contract())
+
+
+def with_target(checked: DataFrame) -> DataFrame:
+    """Name the folder a row belongs to: ``valid`` or ``quarantine``."""
+    return checked.withColumn("target", F.when(keeps_contract(), "valid").otherwise("quarantine"))
+
+
+def store_split(checked: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write both sides in one pass and return them as reads of their folders."""
+    with_target(checked).write.mode("append").partitionBy("target").parquet(path)
+    stored = checked.sparkSession.read.schema(with_target(checked).schema).parquet(path)
+    return stored.where(F.col("target") == "valid"), stored.where(F.col("target") == "quarantine")
 
 
 def row_freshness(epoch_seconds: Column | str, contract: Contract, now: Column) -> Column:

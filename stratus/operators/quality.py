@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.functions import as_instant, seconds_between
-from stratus.operators.contracts import json_kind
+from stratus.operators.contracts import json_shape, kind_name
 
 RESULT = (
     "check string, target string, column string, severity string, "
@@ -109,9 +110,22 @@ AGGREGATED: dict[str, Callable[[Check, Column], Outcome]] = {
 KINDS = {*AGGREGATED, "unique"}
 
 
-def _row(check: Check, target: str, observed: Column, failures: Column) -> Column:
-    failures = failures.cast("bigint")
+@dataclass(frozen=True)
+class Placed:
+    """A check together with the suite and layer it is reported under, if any."""
+
+    check: Check
+    suite: str | None = None
+    layer: str | None = None
+
+
+def _row(placed: Placed, target: str, observed: Column, failures: Column) -> Column:
+    check, failures = placed.check, failures.cast("bigint")
+    owner = []
+    if placed.suite is not None:
+        owner = [F.lit(placed.suite).alias("suite"), F.lit(placed.layer).alias("layer")]
     return F.struct(
+        *owner,
         F.lit(check.label).alias("check"),
         F.lit(target).alias("target"),
         F.lit(check.column).cast("string").alias("column"),
@@ -122,47 +136,60 @@ def _row(check: Check, target: str, observed: Column, failures: Column) -> Colum
     )
 
 
-def _duplicates(df: DataFrame, check: Check, target: str) -> DataFrame:
+def _repeated_values(df: DataFrame, column: str) -> DataFrame:
     """Number of non-NULL values that occur more than once; counting combines per task."""
-    repeated = (
-        df.where(F.col(check.column).isNotNull()).groupBy(check.column).agg(F.count("*").alias("n"))
+    return (
+        df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
         .agg(F.count_if(F.col("n") > 1).alias("n"))
     )
-    return repeated.select(F.inline(F.array(_row(check, target, F.col("n"), F.col("n")))))
 
 
-def _unavailable(spark: SparkSession, checks: list[Check], target: str) -> DataFrame:
-    rows = [(c.label, target, c.column, c.severity, False, None, None) for c in checks]
-    return spark.createDataFrame(rows, RESULT)
+def _unavailable(spark: SparkSession, placed: list[Placed], target: str) -> DataFrame:
+    owned = placed[0].suite is not None
+    rows = [
+        ((p.suite, p.layer) if owned else ())
+        + (p.check.label, target, p.check.column, p.check.severity, False, None, None)
+        for p in placed
+    ]
+    return spark.createDataFrame(rows, f"suite string, layer string, {RESULT}" if owned else RESULT)
 
 
-def run_checks(df: DataFrame, target: str, checks: list[Check] | tuple[Check, ...], now: Any = None) -> DataFrame:
-    """All checks of one table as check rows.
-
-    Everything that is an aggregate shares a single scan and a single partial
-    aggregation; only uniqueness needs a grouping of its own. A check on a
-    column the table lacks gives a failed row.
-    """
+def _check_rows(df: DataFrame, target: str, placed: list[Placed], now: Any) -> DataFrame:
     instant = as_instant(now)
     present = set(df.columns)
-    known = [c for c in checks if c.column is None or c.column in present]
-    unavailable = [c for c in checks if c not in known]
-    folded = [c for c in known if c.kind in AGGREGATED]
+    known = [p for p in placed if p.check.column is None or p.check.column in present]
+    unavailable = [p for p in placed if p not in known]
+    folded = list(dict.fromkeys(p.check for p in known if p.check.kind in AGGREGATED))
     parts: list[DataFrame] = []
     if folded:
         aggregates, rows = [], []
         for i, check in enumerate(folded):
             outcome = AGGREGATED[check.kind](check, instant)
             aggregates += [outcome.observed.alias(f"o{i}"), outcome.failures.alias(f"f{i}")]
-            rows.append(_row(check, target, F.col(f"o{i}"), F.col(f"f{i}")))
+        for p in known:
+            if p.check in folded:
+                i = folded.index(p.check)
+                rows.append(_row(p, target, F.col(f"o{i}"), F.col(f"f{i}")))
         parts.append(df.agg(*aggregates).select(F.inline(F.array(*rows))))
-    parts += [_duplicates(df, c, target) for c in known if c.kind == "unique"]
+    for column in dict.fromkeys(p.check.column for p in known if p.check.kind == "unique"):
+        rows = [
+            _row(p, target, F.col("n"), F.col("n"))
+            for p in known if p.check.kind == "unique" and p.check.column == column
+        ]
+        parts.append(_repeated_values(df, column).select(F.inline(F.array(*rows))))
     if unavailable:
         parts.append(_unavailable(df.sparkSession, unavailable, target))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_checks(df: DataFrame, target: str, checks: list[Check] | tuple[Check, ...], now: Any = None) -> DataFrame:
+    """All checks of one table as check rows.
+
+    Everything that is an aggregate shares a single scan and a single partial
+    aggregation; only uniqueness needs a grouping of its own. A check on a
+    column the table lacks gives a failed row.
+    """
+    return _check_rows(df, target, [Placed(c) for c in checks], now)
 
 
 @dataclass(frozen=True)
@@ -246,38 +273,23 @@ SUITES = (
 def run_suites(
     tables: dict[str, DataFrame], layer: str = "all", suites: tuple[Suite, ...] = SUITES, now: Any = None
 ) -> DataFrame:
-    """Check rows of every suite of a layer, with a ``suite`` column.
+    """Check rows of every suite of a layer, with ``suite`` and ``layer`` columns.
 
-    Suites that share a table share its scan: the union of their checks runs
-    once and the rows are then handed to each suite. A table that is not given
-    yields failed rows for its suites.
+    Suites of one table share its scan, and a check two suites have in common
+    is computed once. A table that is not given yields failed rows.
     """
     if layer not in ("all", "staging", "mart"):
         raise ValueError(f"unknown layer: {layer}")
     chosen = [s for s in suites if layer in ("all", s.layer)]
     spark = next(iter(tables.values())).sparkSession
-    results: DataFrame | None = None
+    parts = []
     for table in dict.fromkeys(s.table for s in chosen):
-        of_table = [s for s in chosen if s.table == table]
-        checks = list(dict.fromkeys(c for s in of_table for c in s.checks))
+        placed = [Placed(c, s.name, s.layer) for s in chosen if s.table == table for c in s.checks]
         if table in tables:
-            rows = run_checks(tables[table], table, checks, now)
+            parts.append(_check_rows(tables[table], table, placed, now))
         else:
-            rows = _unavailable(spark, checks, table)
-        owners = F.array(*[
-            F.struct(F.lit(s.name).alias("suite"), F.lit(s.layer).alias("layer"))
-            for s in of_table
-        ])
-        owned = F.lit(False)
-        for s in of_table:
-            for c in s.checks:
-                owned = owned | (
-                    (F.col("suite") == s.name) & (F.col("check") == c.label)
-                    & F.col("column").eqNullSafe(F.lit(c.column)) & (F.col("severity") == c.severity)
-                )
-        part = rows.select("*", F.inline(owners)).where(owned)
-        results = part if results is None else results.unionByName(part)
-    return results
+            parts.append(_unavailable(spark, placed, table))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def suite_verdicts(results: DataFrame) -> DataFrame:
@@ -317,7 +329,7 @@ def payload_schema(df: DataFrame, raw: str) -> DataFrame:
     parsed = df.select(F.try_parse_json(raw).alias("_doc"))
     fields = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("_doc").outer()))
     return fields.groupBy(
-        F.col("key").alias("column"), json_kind(F.col("value")).alias("type")
+        F.col("key").alias("column"), kind_name(json_shape(F.col("value"))).alias("type")
     ).agg(F.count("*").alias("rows"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.functions import pg_round
@@ -108,14 +108,17 @@ def daily_range_instability(
 def latest_observations(observations: DataFrame, *columns: str) -> DataFrame:
     """Every city's newest observations; all rows that share the newest time are kept.
 
-    The join key holds the time as well as the city, so a big city's rows
-    spread over tasks, and the one-row-per-city side is broadcast by the
-    adaptive planner only when its measured size allows.
+    A rank limited to 1 is applied per task before the shuffle, so each task
+    sends only its own newest rows of a city, however many rows that city has.
+    Needs one scan and no join.
     """
-    newest = observations.groupBy("city_name").agg(F.max("measured_at").alias("measured_at"))
     kept = columns or ("temperature_celsius", "humidity_percent", "wind_speed_ms", "weather_description")
-    return observations.join(newest, ["city_name", "measured_at"], "left_semi").select(
-        "city_name", *kept, "measured_at"
+    newest = Window.partitionBy("city_name").orderBy(F.col("measured_at").desc())
+    return (
+        observations.where(F.col("measured_at").isNotNull())
+        .select("city_name", *kept, "measured_at", F.rank().over(newest).alias("_age"))
+        .where(F.col("_age") == 1)
+        .drop("_age")
     )
 
 

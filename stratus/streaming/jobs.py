@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratus.operators.contracts import Contract, check_contract
+from stratus.operators.contracts import Contract, check_contract, with_target
 from stratus.plans.marts import condition_parts
 
 PART_KEYS = ["city_name", "date_day", "weather_condition"]
@@ -53,6 +53,4 @@ def drop_repeats(rows: DataFrame, row_id: str, ts: str, lateness: str = "7 days"
 
 def contract_stream(rows: DataFrame, raw: str, contract: Contract) -> DataFrame:
     """Contract errors in flight, with the sink folder each row belongs to."""
-    checked = check_contract(rows, raw, contract)
-    broken: Column = F.col("malformed") | (F.size("contract_errors") > 0)
-    return checked.withColumn("target", F.when(broken, "quarantine").otherwise("valid"))
+    return with_target(check_contract(rows, raw, contract))

@@ -16,8 +16,8 @@ def stream_table(
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    # The pattern covers a single file as well as a folder of part files.
-    return reader.parquet(path if any(c in path for c in "*?[") else f"{path}*")
+    # As a pattern the path may be a single file as well as a folder of part files.
+    return reader.parquet(path if any(c in path for c in "*?[") else f"{path[:-1]}[{path[-1]}]")
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = ()) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stratus.functions import containers as box
 from stratus.functions import label_matches, pg_round, relabel
-from stratus.functions.metric_names import METRIC_RULES, UNMAPPED, map_metric_name
+from stratus.functions.metric_names import METRIC_RULES, UNMAPPED, with_metric_name
 from stratus.operators import alerts, anomaly, counters, logs, runs, series, sustained
 from stratus.operators.alerts import THRESHOLD_RULES
 from stratus.workload import views
@@ -528,6 +528,6 @@ def _glob_sql() -> tuple[str, str]:
 SELECT event_id, {} AS name, {} AS labels FROM metric_names
 """.format(*_glob_sql())))
 def metric_name_mapping(spark, sf_dir):
-    mapped = views.metric_names(spark, sf_dir).withColumn("m", map_metric_name("dotted"))
+    mapped = with_metric_name(views.metric_names(spark, sf_dir), "dotted", "m")
     pairs = F.transform(F.map_entries("m.labels"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return mapped.select("event_id", F.col("m.name").alias("name"), F.array_join(pairs, ",").alias("labels"))

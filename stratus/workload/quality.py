@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stratus.functions import pg_round
 from stratus.operators import contracts, quality
-from stratus.operators.contracts import ACCEPTED, CURRENT_CONTRACT
+from stratus.operators.contracts import CURRENT_CONTRACT
 from stratus.operators.quality import SUITES, Check
 from stratus.session import work_path
 from stratus.sources.export import write_report
@@ -23,6 +23,10 @@ KIND = (
     "CASE json_type({j}) WHEN 'OBJECT' THEN 'dict' WHEN 'ARRAY' THEN 'list' WHEN 'VARCHAR' THEN 'str' "
     "WHEN 'BOOLEAN' THEN 'bool' WHEN 'NULL' THEN 'NoneType' WHEN 'DOUBLE' THEN 'float' ELSE 'int' END"
 )
+ACCEPTS = {
+    "string": ["str"], "integer": ["int", "bool"], "number": ["int", "float", "bool"], "array": ["list"],
+    "object": ["dict"],
+}
 
 
 def _error_cases(fields, path: str = "$", shown: str = "", guard: str = "true") -> list[str]:
@@ -33,8 +37,8 @@ def _error_cases(fields, path: str = "$", shown: str = "", guard: str = "true")
         kind = KIND.format(j=j)
         missing = f"'Missing required field: {label}'" if spec.required else "NULL"
         case = f"CASE WHEN {guard} AND {j} IS NULL THEN {missing}"
-        if spec.type in ACCEPTED:
-            accepted = ", ".join(f"'{k}'" for k in ACCEPTED[spec.type])
+        if spec.type in ACCEPTS:
+            accepted = ", ".join(f"'{k}'" for k in ACCEPTS[spec.type])
             case += (
                 f" WHEN {j} IS NOT NULL AND {kind} NOT IN ({accepted})"
                 f" THEN 'Type mismatch at {label}: expected {spec.type}, got ' || {kind}"
@@ -93,8 +97,9 @@ SELECT event_id, malformed, cast(len(errors) AS int) AS error_count,
   CASE WHEN malformed OR len(errors) > 0 THEN 'quarantine' ELSE 'valid' END AS target FROM checked
 """))
 def contract_quarantine(spark, sf_dir):
-    valid, broken = contracts.split_quarantine(checked(spark, sf_dir))
-    both = valid.withColumn("target", F.lit("valid")).unionByName(broken.withColumn("target", F.lit("quarantine")))
+    """Stores both sides in one pass and reads them back."""
+    valid, broken = contracts.store_split(checked(spark, sf_dir), work_path(spark, "checked"))
+    both = valid.unionByName(broken)
     count = F.when(~F.col("malformed"), F.size("contract_errors"))
     return both.select("event_id", "malformed", count.alias("error_count"), "target")
 
