@@ -9,6 +9,7 @@ from stratus.functions import label_matches, pg_round, relabel
 from stratus.functions.metric_names import METRIC_RULES, UNMAPPED, with_metric_name
 from stratus.operators import alerts, anomaly, counters, logs, runs, series, sustained
 from stratus.operators.alerts import THRESHOLD_RULES
+from stratus.plans import alert_rules
 from stratus.workload import views
 from stratus.workload.registry import query
 from stratus.workload.views import EVENTS_NOW, RUNS_NOW, rounded, with_views
@@ -433,6 +434,122 @@ def alert_throttle(spark, sf_dir):
     return alerts.alert_throttle(fired(spark, sf_dir))
 
 
+# -- all shipped rules ----------------------------------------------------------
+
+PLAIN_TRUTHS = " UNION ALL ".join(
+    f"SELECT '{r.alert}' AS alertname, {r.hold} AS hold, instance, device, step, value "
+    f"{'=' if r.comparison == '==' else r.comparison} {r.threshold} AS truth FROM last WHERE name = '{r.metric}'"
+    + "".join(f" AND regexp_full_match({label}, '{pattern}')" for label, pattern in r.labels.items())
+    for r in THRESHOLD_RULES
+)
+
+
+def _windowed(alert: str, hold: int, metric: str, share: str, window: int, truth: str, where: str = "true") -> str:
+    pair = "CASE WHEN v < p THEN v ELSE v - p END" if share == "growth" else "CASE WHEN v <> p THEN 1 ELSE 0 END"
+    return f"""
+SELECT '{alert}' AS alertname, {hold} AS hold, instance, device, step, samples >= 2 AND {truth} AS truth FROM (
+  SELECT i.instance, i.device, i.step, count(*) AS samples,
+    sum(CASE WHEN s.pus >= (i.step + 1) * 60000000 - {window * 1_000_000} THEN {pair} ELSE 0 END) AS total
+  FROM (SELECT DISTINCT instance, device, step FROM pairs WHERE name = '{metric}' AND {where}) i
+  JOIN (SELECT * FROM pairs WHERE name = '{metric}' AND {where}) s
+    ON s.instance = i.instance AND s.device IS NOT DISTINCT FROM i.device AND s.us < (i.step + 1) * 60000000
+    AND s.us >= (i.step + 1) * 60000000 - {window * 1_000_000}
+  GROUP BY i.instance, i.device, i.step)"""
+
+
+def _shares(alert: str, part: str, whole: str, truth: str, where: str = "true") -> str:
+    return f"""
+SELECT '{alert}' AS alertname, 300 AS hold, a.instance, a.device, a.step, {truth} AS truth
+FROM (SELECT * FROM {'last_disk' if where != 'true' else 'last'} WHERE name = '{part}') a
+JOIN (SELECT * FROM {'last_disk' if where != 'true' else 'last'} WHERE name = '{whole}') b
+  ON a.instance = b.instance AND a.step = b.step"""
+
+
+def _and(alert: str, hold: int, first: str, second: str) -> str:
+    return f"""
+SELECT '{alert}' AS alertname, {hold} AS hold, instance, device, step, count(*) FILTER (truth) = 2 AS truth
+FROM ({first} UNION ALL {second}) GROUP BY instance, device, step"""
+
+
+_STACK = "regexp_full_match(instance, 'airflow.*|redis|minio|postgres')"
+_CARDS = "NOT regexp_full_match(device, 'lo|veth.*|docker.*|br-.*')"
+COMPUTED_TRUTHS = " UNION ALL ".join([
+    _windowed("AirflowSchedulerDown", 120, "airflow_scheduler_heartbeat", "growth", 300, "total = 0"),
+    _windowed("AirflowHighTaskFailureRate", 300, "airflow_ti_failures", "growth", 900, "total / 900.0e0 > 0.1"),
+    _windowed("AirflowZombiesDetected", 0, "airflow_zombies_killed", "growth", 3600, "total > 0"),
+    _and(
+        "ContainerRestarted", 0,
+        f"""SELECT instance, device, step, value > 0 AS truth FROM last
+  WHERE name = 'docker_container_restart_count' AND {_STACK}""",
+        f"""SELECT instance, device, step, truth FROM ({_windowed(
+            "x", 0, "docker_container_start_time_seconds", "changes", 900, "total > 0", _STACK)})""",
+    ),
+    _shares("ContainerHighMemory", "docker_container_memory_usage_bytes", "docker_container_memory_limit_bytes",
+            "a.value / b.value * 100 > 85"),
+    """SELECT 'PipelineDataStale', 600, instance, device, step, (step + 1) * 60 - value > 86400
+  FROM last WHERE name = 'push_time_seconds'""",
+    f"""SELECT 'HostHighCPU', 300, instance, device, step, 100.0e0 - total / 300.0e0 * 100 > 85 FROM (
+  SELECT *, NULL AS x FROM ({_windowed(
+      "x", 0, "node_cpu_seconds_total", "growth", 300, "total >= 0", "mode = 'idle'"
+  ).replace("samples >= 2 AND total >= 0 AS truth", "samples, total")}) WHERE samples >= 2)""",
+    _shares("HostHighMemory", "node_memory_MemAvailable_bytes", "node_memory_MemTotal_bytes",
+            "(1 - a.value / b.value) * 100 > 85"),
+    _shares("HostDiskSpaceLow", "node_filesystem_avail_bytes", "node_filesystem_size_bytes",
+            "(1 - a.value / b.value) * 100 > 85", "disk"),
+    _and("HostNetworkDown", 180, *[
+        f"SELECT instance, device, step, truth FROM ({_windowed('x', 0, m, 'growth', 300, 'total = 0', _CARDS)})"
+        for m in ("node_network_receive_bytes_total", "node_network_transmit_bytes_total")
+    ]),
+    _windowed("PrometheusTooManyRestarts", 0, "process_start_time_seconds", "changes", 3600, "total > 2",
+              "instance = 'prometheus'"),
+])
+RULE_OWNERS = {r.alert: (r.severity, r.component) for r in (*THRESHOLD_RULES, *alert_rules.COMPUTED_RULES)}
+
+
+@query("alert_rules", with_views("fast", "samples", f"""
+WITH pairs AS (
+  SELECT name, instance, device, mode, epoch_us(ts) AS us, epoch_us(ts) // 60000000 AS step, value AS v,
+    lag(value) OVER w AS p, lag(epoch_us(ts)) OVER w AS pus FROM samples
+  WINDOW w AS (PARTITION BY name, instance, device, mode ORDER BY ts, event_id)
+),
+last AS (
+  SELECT name, instance, device, epoch_us(ts) // 60000000 AS step, arg_max(value, (ts, event_id)) AS value
+  FROM samples GROUP BY ALL
+),
+last_disk AS (
+  SELECT name, instance, device, epoch_us(ts) // 60000000 AS step, arg_max(value, (ts, event_id)) AS value
+  FROM samples WHERE fstype IS DISTINCT FROM 'tmpfs' GROUP BY ALL
+),
+truths AS ({PLAIN_TRUTHS} UNION ALL {COMPUTED_TRUTHS}),
+islands AS (
+  SELECT *, row_number() OVER (PARTITION BY alertname, instance, device ORDER BY step)
+    - row_number() OVER (PARTITION BY alertname, instance, device, truth ORDER BY step) AS island FROM truths
+),
+held AS (
+  SELECT alertname, instance, device, make_timestamp((min(step) + 1) * 60000000) AS started_at,
+    make_timestamp((max(step) + 1) * 60000000) AS ended_at, count(*) AS samples
+  FROM islands WHERE truth GROUP BY alertname, hold, instance, device, island
+  HAVING (max(step) - min(step)) * 60 >= hold
+)
+SELECT alertname, severity, component, instance, device, started_at, ended_at, samples FROM held JOIN (VALUES
+  {', '.join(f"('{name}', '{severity}', '{part}')" for name, (severity, part) in RULE_OWNERS.items())}
+) o(alertname, severity, component) USING (alertname)
+"""))
+def all_rules(spark, sf_dir):
+    """All rules over all samples, held for their required time."""
+    return alert_rules.held_rule_alerts(views.rule_samples(spark, sf_dir))
+
+
+@query("absent_rules", with_views("fast", "samples", """
+SELECT * FROM (VALUES ('AirflowSchedulerDown', 'airflow_scheduler_heartbeat', ''), ('LokiDown', 'up', 'loki'))
+  e(alertname, name, instance)
+WHERE NOT EXISTS (SELECT 1 FROM samples s WHERE s.name = e.name AND (e.instance = '' OR s.instance = e.instance)
+  AND ts > TIMESTAMP '2024-01-01 05:55:00' AND ts <= TIMESTAMP '2024-01-01 06:00:00')
+"""))
+def absent_rules(spark, sf_dir):
+    return alert_rules.absence_alerts(views.rule_samples(spark, sf_dir), views.now("2024-01-01 06:00:00"))
+
+
 # -- logs ---------------------------------------------------------------------
 
 IS_ERROR = "regexp_matches(line, '(?i)(error|exception|traceback|warning|import|module|no module|syntaxerror|cannot)')"

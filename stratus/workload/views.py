@@ -266,6 +266,69 @@ FROM events
 """
 
 
+# Per event type the samples it stands for, as (metric, value), and the labels that go with a metric.
+RULE_SAMPLES = {
+    "click": (
+        ("airflow_scheduler_heartbeat", "floor(value / 20)"), ("airflow_ti_failures", "k * 10"),
+        ("airflow_executor_open_slots", "k % 6"),
+    ),
+    "error": (
+        ("airflow_dag_processing_import_errors", "k % 3"), ("airflow_zombies_killed", "floor(k / 80)"),
+        ("docker_container_running", "k % 2"), ("process_start_time_seconds", "k % 4"),
+    ),
+    "view": (
+        ("docker_container_restart_count", "floor(k / 50)"), ("docker_container_start_time_seconds", "floor(k / 60)"),
+        ("docker_container_cpu_usage_percent", "value"), ("docker_container_memory_usage_bytes", "k"),
+        ("docker_container_memory_limit_bytes", "90"), ("docker_container_health_status", "k % 2"),
+    ),
+    "signup": (
+        ("push_time_seconds", "1704067200 - k * 2000"), ("up", "k % 2"), ("node_cpu_seconds_total", "k"),
+        ("node_memory_MemAvailable_bytes", "k"), ("node_memory_MemTotal_bytes", "200"),
+    ),
+    "purchase": (
+        ("node_filesystem_avail_bytes", "k"), ("node_filesystem_size_bytes", "200"),
+        ("node_network_receive_bytes_total", "floor(k / 90)"), ("node_network_transmit_bytes_total", "floor(k / 90)"),
+    ),
+}
+RULE_INSTANCES = ("airflow-scheduler", "redis", "pushgateway", "prometheus")
+RULE_DEVICE = "CASE WHEN name LIKE 'node_network%' THEN CASE WHEN u % 8 < 4 THEN 'eth0' ELSE 'lo' END END"
+RULE_MODE = "CASE WHEN name = 'node_cpu_seconds_total' THEN CASE WHEN u % 16 < 8 THEN 'idle' ELSE 'user' END END"
+RULE_FSTYPE = "CASE WHEN name LIKE 'node_filesystem%' THEN CASE WHEN u % 8 < 4 THEN 'ext4' ELSE 'tmpfs' END END"
+_RULE_INSTANCE = "CASE u % 4 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(RULE_INSTANCES)) + " END"
+
+
+def rule_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples for all shipped rules. Time runs sixty times faster, so that windows of minutes hold several."""
+    start = 1_704_067_200_000_000
+    micros = F.lit(start) + F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - start) / 60)
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "value", F.col("user_id").alias("u"), _k().alias("k"),
+        F.timestamp_micros(micros).cast("timestamp_ntz").alias("ts"),
+    )
+    arrays = "CASE event_type " + " ".join(
+        f"WHEN '{kind}' THEN array("
+        + ", ".join(f"named_struct('name', '{name}', 'v', cast({value} AS double))" for name, value in pairs) + ")"
+        for kind, pairs in RULE_SAMPLES.items()
+    ) + " END"
+    return events.select("event_id", "ts", "u", F.expr(f"inline({arrays})")).selectExpr(
+        "name", f"{_RULE_INSTANCE} AS instance", f"{RULE_DEVICE} AS device", f"{RULE_MODE} AS mode",
+        f"{RULE_FSTYPE} AS fstype", "event_id", "ts", "v AS value",
+    )
+
+
+RULE_SAMPLES_SQL = f"""
+SELECT name, {_RULE_INSTANCE} AS instance, {RULE_DEVICE} AS device, {RULE_MODE} AS mode, {RULE_FSTYPE} AS fstype,
+  event_id, ts, value
+FROM ({' UNION ALL '.join(
+    f"SELECT event_id, u, ts, '{name}' AS name, cast({value} AS double) AS value FROM fast WHERE event_type = '{kind}'"
+    for kind, pairs in RULE_SAMPLES.items() for name, value in pairs)})
+"""
+FAST = """
+SELECT event_id, event_type, value, user_id AS u, cast(json_extract_string(props, '$.k') AS bigint) AS k,
+  make_timestamp(1704067200000000 + (epoch_us(ts) - 1704067200000000) // 60) AS ts FROM events
+"""
+
+
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "ts",
@@ -425,7 +488,7 @@ FROM events
 VIEW_SQL = {
     "obs": OBS, "fc": FC, "runs": RUNS, "customer_runs": CUSTOMER_RUNS, "dags": DAGS, "required": REQUIRED,
     "series": SERIES, "metrics": METRICS, "logs": LOGS, "payloads": PAYLOADS, "bronze": BRONZE,
-    "containers": CONTAINERS, "metric_names": METRIC_NAMES,
+    "containers": CONTAINERS, "metric_names": METRIC_NAMES, "fast": FAST, "samples": RULE_SAMPLES_SQL,
 }
 
 
