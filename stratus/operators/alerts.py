@@ -33,16 +33,12 @@ class Rule:
     component: str
     labels: dict[str, str] = field(default_factory=dict)
 
-    def applies(self, name: str = "name") -> Column:
-        """Is this a sample the rule looks at?"""
-        hit = F.col(name) == self.metric
+    def broken(self, name: str = "name", value: str = "value") -> Column:
+        hit = (F.col(name) == self.metric) & COMPARISONS[self.comparison](F.col(value), F.lit(float(self.threshold)))
         for label, pattern in self.labels.items():
             hit = hit & label_matches(label, pattern)
         return hit
 
-    def broken(self, value: str = "value") -> Column:
-        return COMPARISONS[self.comparison](F.col(value), F.lit(float(self.threshold)))
-
 
 _AIRFLOW_SERVICES = "airflow-api-server|airflow-scheduler|airflow-worker|airflow-triggerer|airflow-dag-processor"
 _STACK = "airflow.*|redis|minio|postgres"
@@ -66,42 +62,23 @@ THRESHOLD_RULES = (
 )
 
 
-def _for_each_rule(samples: DataFrame, rules: tuple[Rule, ...], name: str, wanted) -> DataFrame:
-    """One row per sample and rule for which ``wanted`` gives a struct; one pass over the samples."""
-    relevant = samples.where(F.col(name).isin(sorted({r.metric for r in rules})))
-    hits = F.filter(F.array(*[wanted(r) for r in rules]), lambda r: r.isNotNull())
-    return relevant.select(*samples.columns, F.inline(hits))
-
-
-def _description(rule: Rule) -> list[Column]:
-    return [
-        F.lit(rule.alert).alias("alertname"),
-        F.lit(rule.severity).alias("severity"),
-        F.lit(rule.component).alias("component"),
-        F.lit(float(rule.threshold)).alias("threshold"),
-        F.lit(rule.hold).alias("hold_seconds"),
-    ]
-
-
 def threshold_alerts(
     samples: DataFrame, rules: tuple[Rule, ...] = THRESHOLD_RULES, name: str = "name", value: str = "value"
 ) -> DataFrame:
-    """One row per sample and rule it breaks."""
-    return _for_each_rule(
-        samples, rules, name,
-        lambda rule: F.when(rule.applies(name) & rule.broken(value), F.struct(*_description(rule))),
-    )
-
+    """One row per sample and rule it breaks; all rules are tested in one pass over the samples."""
+    def fired(rule: Rule) -> Column:
+        row = F.struct(
+            F.lit(rule.alert).alias("alertname"),
+            F.lit(rule.severity).alias("severity"),
+            F.lit(rule.component).alias("component"),
+            F.lit(float(rule.threshold)).alias("threshold"),
+            F.lit(rule.hold).alias("hold_seconds"),
+        )
+        return F.when(rule.broken(name, value), row)
 
-def threshold_truths(
-    samples: DataFrame, rules: tuple[Rule, ...] = THRESHOLD_RULES, name: str = "name", value: str = "value"
-) -> DataFrame:
-    """One row per sample and rule it is subject to, with whether it breaks the rule."""
-    def judged(rule: Rule) -> Column:
-        truth = F.coalesce(rule.broken(value), F.lit(False)).alias("truth")
-        return F.when(rule.applies(name), F.struct(*_description(rule), truth))
-
-    return _for_each_rule(samples, rules, name, judged)
+    relevant = samples.where(F.col(name).isin(sorted({r.metric for r in rules})))
+    hits = F.filter(F.array(*[fired(r) for r in rules]), lambda r: r.isNotNull())
+    return relevant.select(*samples.columns, F.inline(hits))
 
 
 def alert_groups(alerts: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratus.operators.slices import over_window, pairwise_steps
+from stratus.operators.slices import over_windows, pairwise_steps
 
 HOUR = 3_600
 
@@ -25,7 +25,7 @@ def counter_increase(
 ) -> DataFrame:
     """Counter growth within the trailing window at every step a series reported."""
     steps = pairwise_steps(samples, keys, ts, value, tiebreak, counter_delta, step)
-    return over_window(steps, keys, step, window, "increase")
+    return over_windows(steps, keys, step, {"increase": window}).withColumnRenamed("increase_samples", "samples")
 
 
 def counter_rate(
@@ -43,7 +43,7 @@ def value_changes(
 ) -> DataFrame:
     """Number of value changes within the trailing window."""
     steps = pairwise_steps(samples, keys, ts, value, tiebreak, value_changed, step)
-    return over_window(steps, keys, step, window, "changes")
+    return over_windows(steps, keys, step, {"changes": window}).withColumnRenamed("changes_samples", "samples")
 
 
 def increase_over_range(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.functions import seconds_between
-from stratus.operators.slices import MICROS, instant_of, slice_number
+from stratus.operators.slices import slice_number, step_end
 
 # Upper bounds of the duration histogram; a last bucket holds everything.
 HISTOGRAM_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10, 30, 60, 120, 300)
@@ -48,7 +48,7 @@ def metric_ratio(
     percent = ((F.lit(1.0) - share) if complement else share) * 100
     return sides.where(F.col("numerator").isNotNull() & F.col("denominator").isNotNull()).select(
         *labels,
-        instant_of((F.col("_step") + 1) * int(step * MICROS)).alias("evaluated_at"),
+        step_end(F.col("_step"), step).alias("evaluated_at"),
         "numerator", "denominator", percent.alias("percent"),
     )
 

@@ -119,23 +119,28 @@ def pairwise_steps(
     return steps.withColumn("border", border).drop("_first", "_last")
 
 
-def over_window(
-    steps: DataFrame, keys: list[str], step_seconds: float, window_seconds: float, name: str
+def over_windows(
+    steps: DataFrame, keys: list[str], step_seconds: float, windows: dict[str, float]
 ) -> DataFrame:
-    """Sum of pair contributions within the trailing window ``[t - window, t)``.
+    """Sums of pair contributions within trailing windows ``[t - window, t)``, one column per window.
 
     ``t`` runs over the ends of the steps in which a series reported. Only
     pairs with both samples inside the window count, and two samples are
-    needed; otherwise the value is NULL. The window must be a whole number of
-    steps, and a frame holds at most that many rows.
+    needed; otherwise the value is NULL. A window must be a whole number of
+    steps, and a frame holds at most that many rows. ``<name>_samples`` counts
+    the samples in each window.
     """
-    reach = round(window_seconds / step_seconds)
-    if reach < 1 or abs(reach * step_seconds - window_seconds) > 1e-9:
-        raise ValueError("the window must be a whole number of steps")
-    frame = Window.partitionBy(*keys).orderBy("step").rangeBetween(-(reach - 1), 0)
-    total = F.sum(F.col("inside") + F.col("border")).over(frame) - F.first("border").over(frame)
-    samples = F.sum("samples").over(frame)
-    end = instant_of((F.col("step") + 1) * int(step_seconds * MICROS))
-    return steps.select(
-        *keys, end.alias("evaluated_at"), F.when(samples >= 2, total).alias(name), samples.alias("samples")
-    )
+    columns = []
+    for name, seconds in windows.items():
+        reach = round(seconds / step_seconds)
+        if reach < 1 or abs(reach * step_seconds - seconds) > 1e-9:
+            raise ValueError("the window must be a whole number of steps")
+        frame = Window.partitionBy(*keys).orderBy("step").rangeBetween(-(reach - 1), 0)
+        total = F.sum(F.col("inside") + F.col("border")).over(frame) - F.first("border").over(frame)
+        samples = F.sum("samples").over(frame)
+        columns += [F.when(samples >= 2, total).alias(name), samples.alias(f"{name}_samples")]
+    return steps.select(*keys, step_end(F.col("step"), step_seconds).alias("evaluated_at"), *columns)
+
+
+def step_end(step: Column, step_seconds: float) -> Column:
+    return instant_of((step + 1) * int(step_seconds * MICROS))

@@ -1,197 +1,233 @@
 """The shipped alert rules, evaluated over samples and held for their required time.
 
 Samples are ``(name, instance, device, mode, fstype, event_id, ts, value)``;
-``instance`` is the host, job or container a sample is about. Every rule turns
-into rows ``(alertname, ..., instance, device, at, truth)``, one per series and
-evaluation step; holding is then decided for all rules in one pass.
+``instance`` is the host, job or container a sample is about. The samples are
+first reduced to facts, a few rows per series and step: the last value, and
+growth or changes over trailing windows. All rules read the facts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.functions import epoch_micros, label_matches, seconds_between
-from stratus.operators.alerts import THRESHOLD_RULES, threshold_truths
-from stratus.operators.counters import counter_increase, counter_rate, idle_to_busy_percent, value_changes
+from stratus.operators.alerts import COMPARISONS, THRESHOLD_RULES
+from stratus.operators.counters import counter_delta, value_changed
 from stratus.operators.series import absent_series
-from stratus.operators.slices import MICROS, instant_of, run_lengths, slice_number
+from stratus.operators.slices import over_windows, pairwise_steps, run_lengths, slice_number, step_end
+from stratus.session import materialise
 
-SERIES = ["instance", "device"]
-STACK = "airflow.*|redis|minio|postgres"
+LABELS = ["instance", "device", "mode", "fstype"]
+STACK = {"instance": "airflow.*|redis|minio|postgres"}
+WINDOWS = {"5m": 300, "15m": 900, "1h": 3600}
 
 
-def _named(samples: DataFrame, name: str) -> DataFrame:
-    return samples.where(F.col("name") == name)
-
-
-def _truths(df: DataFrame, truth: Column, at: str = "evaluated_at") -> DataFrame:
-    return df.select(*SERIES, F.col(at).alias("at"), F.coalesce(truth, F.lit(False)).alias("truth"))
-
-
-def step_values(samples: DataFrame, names: list[str], step: float) -> DataFrame:
-    """Last value of every series in every step, with the step's end."""
-    last = samples.where(F.col("name").isin(names)).groupBy(
-        "name", *SERIES, slice_number("ts", step).alias("_step")
-    ).agg(F.max_by("value", F.struct("ts", "event_id")).alias("value"))
-    at = instant_of((F.col("_step") + 1) * int(step * MICROS))
-    return last.withColumn("at", at).drop("_step")
-
-
-def _share(samples: DataFrame, part: str, whole: str, step: float) -> DataFrame:
-    """Both metrics of a step side by side, from one aggregate."""
-    values = step_values(samples, [part, whole], step)
-    sides = values.groupBy(*SERIES, "at").agg(
-        F.max(F.when(F.col("name") == part, F.col("value"))).alias("part"),
-        F.max(F.when(F.col("name") == whole, F.col("value"))).alias("whole"),
-    )
-    return sides.withColumn("share", F.try_divide("part", "whole"))
-
-
-def _both(first: DataFrame, second: DataFrame) -> DataFrame:
-    """True where both sides are true for the same series and step; no join."""
-    return first.unionByName(second).groupBy(*SERIES, "at").agg((F.count_if("truth") == 2).alias("truth"))
-
-
-def _high_failure_rate(samples, step):
-    rates = counter_rate(_named(samples, "airflow_ti_failures"), SERIES, "value", window=900, step=step)
-    return _truths(rates, F.col("rate") > 0.1)
-
-
-def _no_heartbeat(samples, step):
-    rates = counter_rate(_named(samples, "airflow_scheduler_heartbeat"), SERIES, "value", window=300, step=step)
-    return _truths(rates, F.col("rate") == 0)
-
-
-def _zombies(samples, step):
-    grown = counter_increase(_named(samples, "airflow_zombies_killed"), SERIES, "value", window=3600, step=step)
-    return _truths(grown, F.col("increase") > 0)
-
-
-def _container_restarted(samples, step):
-    stack = samples.where(label_matches("instance", STACK))
-    restarts = step_values(stack, ["docker_container_restart_count"], step)
-    starts = value_changes(
-        _named(stack, "docker_container_start_time_seconds"), SERIES, "value", window=900, step=step
-    )
-    return _both(_truths(restarts, F.col("value") > 0, "at"), _truths(starts, F.col("changes") > 0))
-
-
-def _container_memory(samples, step):
-    share = _share(samples, "docker_container_memory_usage_bytes", "docker_container_memory_limit_bytes", step)
-    return _truths(share, F.col("share") * 100 > 85, "at")
-
-
-def _stale_push(samples, step):
-    pushed = step_values(samples, ["push_time_seconds"], step)
-    return _truths(pushed, epoch_micros("at") / F.lit(1e6) - F.col("value") > 86_400, "at")
-
-
-def _host_cpu(samples, step):
-    idle = _named(samples, "node_cpu_seconds_total").where(F.col("mode") == "idle")
-    rates = counter_rate(idle, SERIES, "value", window=300, step=step).where(F.col("rate").isNotNull())
-    busy = idle_to_busy_percent(rates, ["instance", "evaluated_at"])
-    return _truths(busy.withColumn("device", F.lit(None).cast("string")), F.col("busy_percent") > 85)
-
-
-def _host_memory(samples, step):
-    share = _share(samples, "node_memory_MemAvailable_bytes", "node_memory_MemTotal_bytes", step)
-    return _truths(share, (1 - F.col("share")) * 100 > 85, "at")
-
-
-def _host_disk(samples, step):
-    disks = samples.where(label_matches("fstype", "tmpfs|overlay", negate=True))
-    share = _share(disks, "node_filesystem_avail_bytes", "node_filesystem_size_bytes", step)
-    return _truths(share, (1 - F.col("share")) * 100 > 85, "at")
-
-
-def _host_network(samples, step):
-    cards = samples.where(label_matches("device", "lo|veth.*|docker.*|br-.*", negate=True))
-    silent = [
-        _truths(counter_rate(_named(cards, name), SERIES, "value", window=300, step=step), F.col("rate") == 0)
-        for name in ("node_network_receive_bytes_total", "node_network_transmit_bytes_total")
-    ]
-    return _both(*silent)
+@dataclass(frozen=True)
+class Fact:
+    """A measure of one metric: ``last``, ``growth_5m``, ``changes_15m`` and so on."""
 
+    metric: str
+    measure: str = "last"
+    labels: dict[str, str] = field(default_factory=dict)
+    without: dict[str, str] = field(default_factory=dict)
 
-def _monitoring_restarts(samples, step):
-    own = _named(samples, "process_start_time_seconds").where(F.col("instance") == "prometheus")
-    return _truths(value_changes(own, SERIES, "value", window=3600, step=step), F.col("changes") > 2)
+    def here(self) -> Column:
+        hit = (F.col("name") == self.metric) & (F.col("measure") == self.measure)
+        for label, pattern in self.labels.items():
+            hit = hit & label_matches(label, pattern)
+        for label, pattern in self.without.items():
+            hit = hit & label_matches(label, pattern, negate=True)
+        return hit
 
 
 @dataclass(frozen=True)
-class ComputedRule:
+class Named:
     alert: str
     hold: int
     severity: str
     component: str
-    truths: Callable[[DataFrame, float], DataFrame]
-
-
-# Name, hold in seconds, severity and component of the rules that need more than one value.
-COMPUTED_RULES = (
-    ComputedRule("AirflowSchedulerDown", 120, "critical", "scheduler", _no_heartbeat),
-    ComputedRule("AirflowHighTaskFailureRate", 300, "warning", "worker", _high_failure_rate),
-    ComputedRule("AirflowZombiesDetected", 0, "warning", "scheduler", _zombies),
-    ComputedRule("ContainerRestarted", 0, "warning", "container", _container_restarted),
-    ComputedRule("ContainerHighMemory", 300, "warning", "container", _container_memory),
-    ComputedRule("PipelineDataStale", 600, "warning", "pipeline", _stale_push),
-    ComputedRule("HostHighCPU", 300, "warning", "host", _host_cpu),
-    ComputedRule("HostHighMemory", 300, "warning", "host", _host_memory),
-    ComputedRule("HostDiskSpaceLow", 300, "warning", "host", _host_disk),
-    ComputedRule("HostNetworkDown", 180, "critical", "network", _host_network),
-    ComputedRule("PrometheusTooManyRestarts", 0, "warning", "monitoring", _monitoring_restarts),
+
+    def row(self, truth: Column) -> Column:
+        return F.struct(
+            F.lit(self.alert).alias("alertname"), F.lit(self.severity).alias("severity"),
+            F.lit(self.component).alias("component"), F.lit(self.hold).alias("hold_seconds"),
+            F.coalesce(truth, F.lit(False)).alias("truth"),
+        )
+
+
+def _compare(value: Column, comparison: str, bound: float) -> Column:
+    return COMPARISONS[comparison](value, F.lit(float(bound)))
+
+
+# Rules over one fact, as (rule, fact, divisor, comparison, bound).
+# Growth is compared as a rate where the divisor is the window in seconds.
+SINGLE_RULES = tuple(
+    (Named(r.alert, r.hold, r.severity, r.component), Fact(r.metric, labels=r.labels), 1, r.comparison, r.threshold)
+    for r in THRESHOLD_RULES
+) + (
+    (Named("AirflowSchedulerDown", 120, "critical", "scheduler"),
+     Fact("airflow_scheduler_heartbeat", "growth_5m"), 300, "==", 0),
+    (Named("AirflowHighTaskFailureRate", 300, "warning", "worker"),
+     Fact("airflow_ti_failures", "growth_15m"), 900, ">", 0.1),
+    (Named("AirflowZombiesDetected", 0, "warning", "scheduler"),
+     Fact("airflow_zombies_killed", "growth_1h"), 1, ">", 0),
+    (Named("PrometheusTooManyRestarts", 0, "warning", "monitoring"),
+     Fact("process_start_time_seconds", "changes_1h", {"instance": "prometheus"}), 1, ">", 2),
+)
+# Age in seconds after which pushed data counts as stale.
+STALE_RULE = (Named("PipelineDataStale", 600, "warning", "pipeline"), Fact("push_time_seconds"), 86_400)
+# Share rules in percent, as (rule, part, whole, whether the rest is meant, bound).
+REAL_DISKS = {"fstype": "tmpfs|overlay"}
+SHARE_RULES = (
+    (Named("ContainerHighMemory", 300, "warning", "container"),
+     Fact("docker_container_memory_usage_bytes"), Fact("docker_container_memory_limit_bytes"), False, 85),
+    (Named("HostHighMemory", 300, "warning", "host"),
+     Fact("node_memory_MemAvailable_bytes"), Fact("node_memory_MemTotal_bytes"), True, 85),
+    (Named("HostDiskSpaceLow", 300, "warning", "host"),
+     Fact("node_filesystem_avail_bytes", without=REAL_DISKS), Fact("node_filesystem_size_bytes", without=REAL_DISKS),
+     True, 85),
+)
+# Rules that need two conditions at once, as (rule, (fact, comparison, bound) twice).
+CARDS = {"device": "lo|veth.*|docker.*|br-.*"}
+PAIR_RULES = (
+    (Named("ContainerRestarted", 0, "warning", "container"),
+     (Fact("docker_container_restart_count", labels=STACK), ">", 0),
+     (Fact("docker_container_start_time_seconds", "changes_15m", STACK), ">", 0)),
+    (Named("HostNetworkDown", 180, "critical", "network"),
+     (Fact("node_network_receive_bytes_total", "growth_5m", without=CARDS), "==", 0),
+     (Fact("node_network_transmit_bytes_total", "growth_5m", without=CARDS), "==", 0)),
+)
+# Busy share of a host's processors, from idle time.
+CPU_RULE = (
+    Named("HostHighCPU", 300, "warning", "host"), Fact("node_cpu_seconds_total", "growth_5m", {"mode": "idle"}), 300, 85
 )
 # Series whose absence is itself an alert, as (rule, metric, instance).
 ABSENCE_RULES = (
-    ("AirflowSchedulerDown", "airflow_scheduler_heartbeat", None),
+    ("AirflowSchedulerDown", "airflow_scheduler_heartbeat", ""),
     ("LokiDown", "up", "loki"),
 )
 
 
-def rule_truths(samples: DataFrame, step: float = 60) -> DataFrame:
-    """Truth of every rule for every series it applies to, at each step the series reported."""
-    def labelled(truths: DataFrame, rule) -> DataFrame:
-        return truths.select(
-            F.lit(rule.alert).alias("alertname"), F.lit(rule.severity).alias("severity"),
-            F.lit(rule.component).alias("component"), F.lit(rule.hold).alias("hold_seconds"),
-            *SERIES, "at", "truth",
-        )
+def all_named() -> list[Named]:
+    return [r[0] for r in (*SINGLE_RULES, STALE_RULE, *SHARE_RULES, *PAIR_RULES, CPU_RULE)]
 
-    names = sorted({rule.metric for rule in THRESHOLD_RULES})
-    plain = threshold_truths(step_values(samples, names, step)).select(
-        "alertname", "severity", "component", "hold_seconds", *SERIES, "at", "truth"
-    )
-    computed = [labelled(rule.truths(samples, step), rule) for rule in COMPUTED_RULES]
-    return reduce(DataFrame.unionByName, [plain, *computed])
+
+def _facts_used() -> list[Fact]:
+    facts = [r[1] for r in SINGLE_RULES] + [STALE_RULE[1], CPU_RULE[1]]
+    facts += [f for r in SHARE_RULES for f in r[1:3]]
+    return facts + [side[0] for r in PAIR_RULES for side in r[1:]]
+
+
+def rule_facts(samples: DataFrame, step: float = 60) -> DataFrame:
+    """Rows ``(name, labels, at, measure, value)``: at most three scans for all rules."""
+    used = {(f.metric, f.measure) for f in _facts_used()}
+
+    def metrics(kind: str) -> list[str]:
+        return sorted({metric for metric, measure in used if measure.split("_")[0] == kind})
+
+    keys = ["name", *LABELS]
+    newest = samples.where(F.col("name").isin(metrics("last"))).groupBy(*keys, slice_number("ts", step).alias("_step"))
+    parts = [
+        newest.agg(F.max_by("value", F.struct("ts", "event_id")).alias("value")).select(
+            *keys, step_end(F.col("_step"), step).alias("at"), F.lit("last").alias("measure"), "value"
+        )
+    ]
+    for kind, contribution in (("growth", counter_delta), ("changes", value_changed)):
+        spans = {
+            f"{kind}_{span}": seconds for span, seconds in WINDOWS.items()
+            if any(measure == f"{kind}_{span}" for _, measure in used)
+        }
+        chosen = samples.where(F.col("name").isin(metrics(kind)))
+        steps = pairwise_steps(chosen, keys, "ts", "value", "event_id", contribution, step)
+        wide = over_windows(steps, keys, step, spans)
+        pairs = F.array(*[
+            F.struct(F.lit(span).alias("measure"), F.col(span).cast("double").alias("value")) for span in spans
+        ])
+        long = wide.select(*keys, F.col("evaluated_at").alias("at"), F.inline(pairs))
+        wanted = [(F.col("name") == m) & (F.col("measure") == k) for m, k in sorted(used) if k in spans]
+        parts.append(long.where(reduce(lambda a, b: a | b, wanted)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _single_truths(facts: DataFrame) -> DataFrame:
+    rows = []
+    for rule, fact, divisor, comparison, bound in SINGLE_RULES:
+        truth = _compare(F.col("value") / F.lit(float(divisor)), comparison, bound)
+        rows.append(F.when(fact.here(), rule.row(truth)))
+    rule, fact, age = STALE_RULE
+    rows.append(F.when(fact.here(), rule.row(epoch_micros("at") / F.lit(1e6) - F.col("value") > age)))
+    hits = F.filter(F.array(*rows), lambda r: r.isNotNull())
+    return facts.select(*LABELS, "at", F.inline(hits))
+
+
+def _paired_truths(facts: DataFrame) -> DataFrame:
+    """Rules over two facts of one series and step, side by side in one aggregate."""
+    sides, rows = [], []
+
+    def side(fact: Fact) -> Column:
+        name = f"s{len(sides)}"
+        # A fact without a value (too few samples) is still there: keep both apart.
+        sides.append(F.max(F.when(fact.here(), F.struct("value"))).alias(name))
+        return F.col(name)
+
+    for rule, part, whole, rest, bound in SHARE_RULES:
+        part, whole = side(part), side(whole)
+        share = F.try_divide(part["value"], whole["value"])
+        percent = ((1 - share) if rest else share) * 100
+        rows.append(F.when(part.isNotNull() & whole.isNotNull(), rule.row(percent > bound)))
+    for rule, *conditions in PAIR_RULES:
+        found = [(side(fact), comparison, bound) for fact, comparison, bound in conditions]
+        there = reduce(lambda a, b: a | b, [s.isNotNull() for s, _, _ in found])
+        truth = reduce(lambda a, b: a & b, [_compare(s["value"], c, b) for s, c, b in found])
+        rows.append(F.when(there, rule.row(truth)))
+    hits = F.filter(F.array(*rows), lambda r: r.isNotNull())
+    return facts.groupBy(*LABELS, "at").agg(*sides).select(*LABELS, "at", F.inline(hits))
+
+
+def _processor_truths(facts: DataFrame) -> DataFrame:
+    rule, fact, window, bound = CPU_RULE
+    idle = facts.where(fact.here()).groupBy("instance", "at").agg(F.avg(F.col("value") / F.lit(float(window))).alias("idle"))
+    busy = F.lit(100.0) - F.col("idle") * 100
+    none = [F.lit(None).cast("string").alias(label) for label in LABELS if label != "instance"]
+    known = idle.where(F.col("idle").isNotNull())
+    return known.select("instance", *none, "at", F.inline(F.array(rule.row(busy > bound))))
+
+
+def rule_truths(facts: DataFrame) -> DataFrame:
+    """Truth of every rule for every series it applies to, at each step the series reported."""
+    return _single_truths(facts).unionByName(_paired_truths(facts)).unionByName(_processor_truths(facts))
 
 
 def held_rule_alerts(samples: DataFrame, step: float = 60, slice_seconds: float = 86_400) -> DataFrame:
-    """Periods in which a rule was true long enough, for all rules in one pass."""
-    keys = ["alertname", "severity", "component", "hold_seconds", *SERIES]
-    runs = run_lengths(rule_truths(samples, step), keys, "at", F.col("truth"), "at", slice_seconds)
+    """Periods in which a rule was true long enough, for all rules in one pass.
+
+    The facts feed several branches and are stored once; they hold a few rows
+    per series and step, whatever the number of samples.
+    """
+    facts = materialise(rule_facts(samples, step), "rule_facts")
+    keys = ["alertname", "severity", "component", "hold_seconds", *LABELS]
+    runs = run_lengths(rule_truths(facts), keys, "at", F.col("truth"), "at", slice_seconds)
     held = seconds_between("started_at", "ended_at")
     return runs.where(F.col("state") & (held >= F.col("hold_seconds"))).select(
-        "alertname", "severity", "component", *SERIES, "started_at", "ended_at", "samples"
+        "alertname", "severity", "component", *LABELS, "started_at", "ended_at", "samples"
     )
 
 
 def absence_alerts(samples: DataFrame, now: Column, lookback_seconds: float = 300) -> DataFrame:
     """Rules that fire because a series has no sample in the lookback before ``now``."""
-    spark = samples.sparkSession
-    expected = spark.createDataFrame(
-        [(alert, name, instance or "") for alert, name, instance in ABSENCE_RULES],
-        "alertname string, name string, instance string",
+    expected = samples.sparkSession.createDataFrame(
+        list(ABSENCE_RULES), "alertname string, name string, instance string"
     )
-    per_instance = [(name, instance) for _, name, instance in ABSENCE_RULES if instance]
-    named = reduce(
+    one_instance = reduce(
         lambda a, b: a | b,
-        [(F.col("name") == name) & (F.col("instance") == instance) for name, instance in per_instance],
+        [(F.col("name") == name) & (F.col("instance") == instance) for _, name, instance in ABSENCE_RULES if instance],
+    )
+    any_instance = F.col("name").isin([name for _, name, instance in ABSENCE_RULES if not instance])
+    seen = samples.where(one_instance | any_instance).withColumn(
+        "instance", F.when(any_instance, F.lit("")).otherwise(F.col("instance"))
     )
-    whole = F.col("name").isin([name for _, name, instance in ABSENCE_RULES if not instance])
-    seen = samples.where(named | whole).withColumn("instance", F.when(named, F.col("instance")).otherwise(""))
     return absent_series(expected, seen, ["name", "instance"], now, lookback_seconds).drop("value")

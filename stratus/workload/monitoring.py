@@ -503,7 +503,7 @@ COMPUTED_TRUTHS = " UNION ALL ".join([
     _windowed("PrometheusTooManyRestarts", 0, "process_start_time_seconds", "changes", 3600, "total > 2",
               "instance = 'prometheus'"),
 ])
-RULE_OWNERS = {r.alert: (r.severity, r.component) for r in (*THRESHOLD_RULES, *alert_rules.COMPUTED_RULES)}
+RULE_OWNERS = {r.alert: (r.severity, r.component) for r in alert_rules.all_named()}
 
 
 @query("alert_rules", with_views("fast", "samples", f"""
@@ -531,7 +531,8 @@ held AS (
   FROM islands WHERE truth GROUP BY alertname, hold, instance, device, island
   HAVING (max(step) - min(step)) * 60 >= hold
 )
-SELECT alertname, severity, component, instance, device, started_at, ended_at, samples FROM held JOIN (VALUES
+SELECT alertname, severity, component, instance, device, cast(NULL AS varchar) AS mode,
+  CASE alertname WHEN 'HostDiskSpaceLow' THEN 'ext4' END AS fstype, started_at, ended_at, samples FROM held JOIN (VALUES
   {', '.join(f"('{name}', '{severity}', '{part}')" for name, (severity, part) in RULE_OWNERS.items())}
 ) o(alertname, severity, component) USING (alertname)
 """))
