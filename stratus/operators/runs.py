@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.functions import elapsed_seconds, pg_round, seconds_between
+from stratus.functions import elapsed_seconds, error_prefix, pg_round, seconds_between
 
 # Fixed values of the run checks.
 STUCK_AFTER_SECONDS = 4 * 3_600
@@ -15,6 +15,7 @@ ANOMALY_FACTOR = 3.0
 ANOMALY_RUNS = 20
 MISSED_AFTER_HOURS = 24
 RECENT_RUNS = 200
+RECENT_ERRORS = 50
 # Number shown for a run state; any other state is 0.
 STATE_CODES = {"success": 1, "running": 2, "failed": 3, "queued": 4}
 
@@ -64,10 +65,8 @@ def recent_runs(runs: DataFrame, now: Column, limit: int = RECENT_RUNS, start=No
     )
 
 
-def recent_errors(errors: DataFrame, text: str, at: str, limit: int = 50) -> DataFrame:
+def recent_errors(errors: DataFrame, text: str, at: str, limit: int = RECENT_ERRORS) -> DataFrame:
     """Newest import errors with shortened text."""
-    from stratus.functions import error_prefix
-
     return errors.orderBy(F.col(at).desc_nulls_first()).limit(limit).withColumn(text, error_prefix(text))
 
 

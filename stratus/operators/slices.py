@@ -36,11 +36,11 @@ def run_lengths(
     """Maximal runs of consecutive rows with one state, per key.
 
     Returns keys, ``state``, ``started_at``, ``ended_at`` (first and last row
-    of the run) and ``samples``. Exact over slice borders: runs inside a slice
+    of the run) and ``samples``; rows without a time are left out. Exact over slice borders: runs inside a slice
     are final; the first and last run of each slice are joined with their
     neighbours by a second, small pass.
     """
-    rows = df.select(
+    rows = df.where(F.col(ts).isNotNull()).select(
         *keys, F.col(ts).alias("_ts"), F.col(tiebreak).alias("_tie"), state.alias("state"),
         slice_number(ts, slice_seconds).alias("_slice"),
     )
@@ -95,7 +95,7 @@ def pairwise_steps(
     ``inside`` sums the pairs within the step, ``border`` is the pair that
     links it to the step before (0 for the first), ``samples`` counts rows.
     """
-    rows = df.where(F.col(value).isNotNull()).select(
+    rows = df.where(F.col(value).isNotNull() & F.col(ts).isNotNull()).select(
         *keys, F.col(ts).alias("_ts"), F.col(tiebreak).alias("_tie"), F.col(value).alias("_value"),
         slice_number(ts, step_seconds).alias("step"),
     )

@@ -244,6 +244,29 @@ def label_regex_match(spark, sf_dir):
 
 # -- run history --------------------------------------------------------------
 
+@query("idle_busy_percent", with_views("series", f"""
+WITH pairs AS (
+  SELECT instance, name, epoch_us(ts) AS us, counter AS v, lag(counter) OVER w AS p, lag(epoch_us(ts)) OVER w AS pus
+  FROM series WINDOW w AS (PARTITION BY instance, name ORDER BY ts, event_id)
+),
+instants AS (SELECT DISTINCT instance, name, (us // 3600000000 + 1) * 3600000000 AS t FROM pairs),
+rates AS (
+  SELECT i.instance, i.name, t,
+    sum(CASE WHEN pus >= t - 21600000000 THEN {DELTA} ELSE 0 END) / 21600.0e0 AS rate
+  FROM instants i JOIN pairs s ON s.instance = i.instance AND s.name = i.name AND s.us < t AND s.us >= t - 21600000000
+  GROUP BY ALL HAVING count(*) >= 2
+)
+SELECT instance, make_timestamp(t) AS evaluated_at, {rounded('100.0e0 - avg(rate) * 100', 6)} AS busy_percent
+FROM rates GROUP BY instance, t
+"""))
+def idle_busy_percent(spark, sf_dir):
+    rates = counters.counter_rate(
+        views.series(spark, sf_dir), ["instance", "name"], "counter", window=21_600, step=3_600
+    )
+    busy = counters.idle_to_busy_percent(rates.where(F.col("rate").isNotNull()), ["instance", "evaluated_at"])
+    return busy.withColumn("busy_percent", pg_round("busy_percent", 6))
+
+
 @query("run_state_counts", with_views("runs", """
 SELECT count(*) FILTER (state = 'success') AS n_success, count(*) FILTER (state = 'failed') AS n_failed,
   count(*) FILTER (state = 'running') AS n_running
@@ -282,6 +305,11 @@ def recent_runs(spark, sf_dir):
     return runs.recent_runs(views.runs(spark, sf_dir), views.now(RUNS_NOW))
 
 
+@query("recent_errors", "SELECT doc_id, left(text, 500) AS text FROM documents ORDER BY doc_id DESC LIMIT 50")
+def recent_errors(spark, sf_dir):
+    return runs.recent_errors(views.table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id")
+
+
 @query("state_timeline", with_views("runs", f"""
 SELECT start_date AS time, dag_id AS metric,
   CASE state WHEN 'success' THEN 1 WHEN 'running' THEN 2 WHEN 'failed' THEN 3 WHEN 'queued' THEN 4 ELSE 0 END AS value
