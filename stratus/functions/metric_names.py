@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,33 +51,46 @@ METRIC_RULES = (
 UNMAPPED = "unmapped"
 
 
+def _lookup(entries: dict[str, int], key: Column) -> Column:
+    table = F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
+    return F.try_element_at(table, key)
+
+
 def with_metric_name(df: DataFrame, dotted: str, into: str = "mapped", rules=METRIC_RULES) -> DataFrame:
     """Add a struct of ``name`` and ``labels`` for a dotted metric name.
 
-    Names are split once, in a projection of their own, and compared segment by
-    segment, so a row costs a few string equalities and no regular expression.
+    Rules are data: patterns with stars at the same places form one table, and
+    a name is looked up with those places starred out. The smallest rule number
+    found is the first match. A row costs one lookup per table, so the
+    generated code does not grow with the number of rules.
     """
-    labels_type = "map<string,string>"
-
-    def segment(i: int) -> Column:
-        return F.get("_parts", F.lit(i))
-
-    def outcome(pattern: str, name: str, labels: tuple[str, ...]) -> tuple[Column, Column]:
+    tables: dict[tuple[int, tuple[int, ...]], dict[str, int]] = {}
+    for number, (pattern, _, _) in enumerate(rules):
         segments = pattern.split(".")
-        if "*" not in segments:
-            matches = F.col(dotted) == pattern
-        else:
-            tests = [segment(i) == s for i, s in enumerate(segments) if s != "*"]
-            matches = reduce(lambda a, b: a & b, tests, F.size("_parts") == len(segments))
-        stars = [segment(i) for i, s in enumerate(segments) if s == "*"]
-        pairs = [x for label, star in zip(labels, stars) for x in (F.lit(label), star)]
-        found = F.create_map(*pairs) if pairs else F.create_map()
-        return matches, F.struct(F.lit(name).alias("name"), found.cast(labels_type).alias("labels"))
-
-    first, *others = [outcome(*rule) for rule in rules]
-    chain = F.when(*first)
-    for rule in others:
-        chain = chain.when(*rule)
-    fallback = F.struct(F.lit(UNMAPPED).alias("name"), F.create_map().cast(labels_type).alias("labels"))
-    split = df.withColumn("_parts", F.split(dotted, "\\."))
-    return split.withColumn(into, chain.otherwise(fallback)).drop("_parts")
+        stars = tuple(i for i, s in enumerate(segments) if s == "*")
+        tables.setdefault((len(segments), stars), {}).setdefault(pattern, number)
+    found = [F.lit(None).cast("int"), F.lit(None).cast("int")]
+    exact: dict[str, int] = {}
+    for (length, stars), entries in tables.items():
+        if not stars:
+            exact |= entries
+            continue
+        starred = [F.lit("*") if i in stars else F.get("_parts", F.lit(i)) for i in range(length)]
+        key = F.when(F.size("_parts") == length, F.concat_ws(".", *starred))
+        found.append(_lookup(entries, key))
+    if exact:
+        found.append(_lookup(exact, F.col(dotted)))
+    names = F.lit([name for _, name, _ in rules])
+    label_names = F.array(*[F.lit(list(labels)).cast("array<string>") for _, _, labels in rules])
+    places = F.array(*[
+        F.lit([i for i, s in enumerate(pattern.split(".")) if s == "*"]).cast("array<int>") for pattern, _, _ in rules
+    ])
+    labels = F.map_from_arrays(
+        F.get(label_names, F.col("_rule")), F.transform(F.get(places, F.col("_rule")), lambda i: F.get("_parts", i))
+    )
+    mapped = F.struct(
+        F.coalesce(F.get(names, F.col("_rule")), F.lit(UNMAPPED)).alias("name"),
+        F.coalesce(labels, F.create_map().cast("map<string,string>")).alias("labels"),
+    )
+    split = df.withColumn("_parts", F.split(dotted, "\\.")).withColumn("_rule", F.least(*found))
+    return split.withColumn(into, mapped).drop("_parts", "_rule")

@@ -198,15 +198,14 @@ def histogram_buckets(spark, sf_dir):
     return buckets.withColumn("total", pg_round("total", 6))
 
 
-@query("pipeline_counters", with_views("runs", """
-SELECT 'records_ingested_total' AS metric, l_shipmode AS label, records AS value FROM (
-  SELECT l_returnflag AS l_shipmode, sum(l_quantity) AS records FROM lineitem GROUP BY 1)
+@query("run_counters", with_views("runs", """
+SELECT 'records_ingested_total' AS metric, l_returnflag AS label, sum(l_quantity) AS value FROM lineitem GROUP BY 2
 UNION ALL SELECT 'pipeline_failures_total', dag_id, cast(count(*) FILTER (state <> 'success') AS double)
   FROM runs GROUP BY dag_id
 UNION ALL SELECT 'pipeline_last_run_success', dag_id,
   arg_max(CASE WHEN state = 'success' THEN 1.0e0 ELSE 0.0e0 END, (start_date, run_id)) FROM runs GROUP BY dag_id
 """))
-def pipeline_counters(spark, sf_dir):
+def run_counters(spark, sf_dir):
     totals = series.record_totals(views.table(spark, sf_dir, "lineitem"), "l_returnflag", "l_quantity")
     history = views.runs(spark, sf_dir)
     return totals.unionByName(
