@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from stratus.operators.alerts import alert_throttle
 from stratus.operators.contracts import Contract, Field
 from stratus.operators.logs import reject_old
 from stratus.operators.sustained import sustained_condition
@@ -11,6 +12,7 @@ from stratus.plans.marts import condition_parts, merge_parts
 from stratus.session import work_path
 from stratus.sources import landing
 from stratus.streaming import holding, jobs, running
+from stratus.streaming.throttling import throttled_alerts
 
 START = datetime(2024, 1, 1)
 OBS = """city_name string, weather_condition string, temperature_celsius double, feels_like_celsius double,
@@ -120,3 +122,20 @@ def test_held_alerts_keep_their_state_between_batches(spark):
     ticks = holding.evaluated_ticks(spark.read.parquet(path), ["name"], F.col("value") > 0, 60)
     batch = sustained_condition(ticks.withColumn("seq", F.lit(0)), ["name"], F.col("truth"), 120, ts="tick", tiebreak="seq")
     assert got == sorted((r.name, r.started_at, r.fires_from) for r in batch.collect())
+
+
+def test_throttle_keeps_its_state_between_batches(spark):
+    holding.use_keyed_state(spark)
+    path = work_path(spark, "alerts")
+    schema = "alertname string, severity string, ts timestamp_ntz"
+    rows = [
+        ("A", severity, START + timedelta(minutes=m))
+        for m in range(0, 600, 7) for severity in ("critical", "warning") for _ in range(2)
+    ]
+    for part in range(4):
+        land(spark, path, rows[part * 90:(part + 1) * 90], schema)
+    land(spark, path, [("closes all ticks", "warning", START + timedelta(days=1))], schema)
+    stream = throttled_alerts(as_stream(spark, path, schema))
+    got = sorted(tuple(r) for r in running.finish_append(stream, "throttle").collect())
+    batch = alert_throttle(spark.read.parquet(path)).where("alertname = 'A'")
+    assert got == sorted(tuple(r) for r in batch.collect()) and len(got) > 8
