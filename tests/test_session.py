@@ -1,6 +1,9 @@
+import subprocess
+import sys
 from types import SimpleNamespace
 
 import pytest
+from pyspark import cloudpickle
 
 from stratus import session
 
@@ -30,3 +33,19 @@ def test_materialise_keeps_rows_and_cuts_the_plan(spark):
     stored = session.materialise(df, "t")
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.collect()))
     assert "Range" not in stored._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_functions_reach_workers_that_lack_the_package(tmp_path):
+    from stratus.operators.alerts import throttle_instants
+    from stratus.streaming.holding import HoldProcessor
+    from stratus.streaming.throttling import ThrottleProcessor
+
+    shipped = tmp_path / "shipped"
+    shipped.write_bytes(cloudpickle.dumps((throttle_instants, HoldProcessor(["k"], 1), ThrottleProcessor())))
+    code = (
+        "import pickle, sys, numpy\n"
+        f"throttle, *_ = pickle.load(open({str(shipped)!r}, 'rb'))\n"
+        "assert 'stratus' not in sys.modules\n"
+        "assert list(throttle(numpy.array([0, 1, 5]), 2)) == [0, 2]\n"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path, timeout=100)
