@@ -25,6 +25,8 @@ N, PERCENT = 4, 85
 LIGHT, HEAVY = 1, 10
 #: Members of a bucket that are compared in one piece; larger buckets are compared block against block.
 BLOCK = 1_000
+#: Bits of the filter that keeps texts which no pair needs out of the shuffle: a fixed 2 MB at any size of the corpus.
+FILTER_BITS = 1 << 24
 INDEX, PROBE = 1, 2
 
 
@@ -241,15 +243,22 @@ class NgramJoin:
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs that are links, by counting the n-grams of both whole texts."""
+        if pairs.isEmpty():
+            return pairs
         n, salt, percent = self.n, self.salt, self.bands.percent
+        needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        words = id_filter(needed)
 
         def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches, "text"):
                 row, hashed, sizes = shingles(batch.column("text"), n)
                 first, _ = set_ids(row, hashed, len(sizes), salt)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(first)), batch.column("text")], ["id", "text"])
+                at = first % np.uint64(FILTER_BITS)
+                wanted = words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(first)), batch.column("text")], ["id", "text"]).filter(
+                    pa.array(wanted.astype(bool))
+                )
 
-        needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         texts = self.rows.select("text").mapInArrow(named, "id long, text string").join(needed, "id", "left_semi")
         texts = store(texts.dropDuplicates(["id"]), f"{name}-texts")
 
@@ -277,19 +286,24 @@ class NgramJoin:
         """
         buckets = self.buckets()
         stars = buckets.filter("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
-        stars = store(self.close(store(stars.distinct(), "ngram-stars")), "ngram-star-pairs")
-        first = self.verified(stars, "ngram-star")
-        part = store(connected_components(first), "ngram-parts").toDF("id", "part")
-        placed = buckets.join(part, "id", "left").withColumn("part", F.coalesce("part", "id"))
-        placed = store(placed, "ngram-placed")
-        # A bucket of two was compared as a star; a bucket of one part has nothing to add.
-        mixed = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("part").alias("x"), F.max("part").alias("y"))
-        mixed = store(mixed.filter("size > 2 AND x <> y").select("key", "size"), "ngram-mixed")
-        rest = store(self._compared(placed.join(mixed, "key")).distinct(), "ngram-rest")
-        rest = store(rest.join(stars, ["a", "b"], "left_anti"), "ngram-rest-pairs")
-        return first.unionByName(self.verified(rest, "ngram-rest"))
-
-    def _compared(self, members: DataFrame) -> DataFrame:
+        tested = store(self.close(store(stars.distinct(), "ngram-stars")), "ngram-star-pairs")
+        links = self.verified(tested, "ngram-star")
+        # First as few pairs as would connect each bucket if all that sketches let through were links, then all that are
+        # still in different parts. The second time hardly any are left, however many links a group has.
+        for forest in (True, False):
+            part = store(connected_components(links), "ngram-parts").toDF("id", "part")
+            placed = buckets.join(part, "id", "left").withColumn("part", F.coalesce("part", "id"))
+            placed = store(placed, "ngram-placed")
+            # A bucket of two was compared as a star; a bucket of one part has nothing to add.
+            mixed = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("part").alias("x"), F.max("part").alias("y"))
+            mixed = store(mixed.filter("size > 2 AND x <> y").select("key", "size"), "ngram-mixed")
+            pairs = self._compared(placed.join(mixed, "key"), forest).distinct().join(tested, ["a", "b"], "left_anti")
+            pairs = store(pairs, "ngram-pairs")
+            tested = tested.unionByName(pairs)
+            links = links.unionByName(self.verified(pairs, "ngram"))
+        return links
+
+    def _compared(self, members: DataFrame, forest: bool) -> DataFrame:
         """Pairs of different parts within buckets whose sketches do not rule them out."""
         bands = self.bands
         blocks = F.ceil(F.col("size") / BLOCK)
@@ -303,7 +317,7 @@ class NgramJoin:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for group in runs(batches, ["key", "i", "j"]):
-                a, b = compared(group, bands)
+                a, b = compared(group, bands, forest)
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -320,6 +334,16 @@ class NgramJoin:
         return rows.join(least, "part", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bit set for the low bits of every id; as many rows as it has words reach the driver at most."""
+    place = F.pmod("id", F.lit(FILTER_BITS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(id, {FILTER_BITS}) % 64 as int))")
+    words = np.zeros(FILTER_BITS // 64, np.uint64)
+    for row in ids.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect():
+        words[row["word"]] = row["bits"] % 2**64
+    return words
+
+
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
     """Consecutive rows with equal keys, also over the ends of batches."""
     held: list[pa.RecordBatch] = []
@@ -345,14 +369,18 @@ def _one(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
-def compared(group: pa.RecordBatch, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one bucket (or of two of its blocks) that may be links between different parts."""
+def compared(group: pa.RecordBatch, bands: Bands, forest: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one bucket (or of two of its blocks) that may be links between different parts.
+
+    With ``forest`` only so many that the parts they connect are the same.
+    """
     empty = np.empty(0, np.int64)
     if group.num_rows < 2:
         return empty, empty
     ids, parts, sizes, roles, own = (
         group.column(c).to_numpy() for c in ("id", "part", "n_shingles", "role", "own")
     )
+    parts = parts.copy()
     if parts.min() == parts.max():
         return empty, empty
     apart_blocks = group.column("i")[0].as_py() != group.column("j")[0].as_py()
@@ -374,6 +402,10 @@ def compared(group: pa.RecordBatch, bands: Bands) -> tuple[np.ndarray, np.ndarra
         if len(at):
             far = np.bitwise_count(bits[k + 1 + at] ^ bits[k]).sum(axis=1)
             at = at[far <= limit[at]] + k + 1
+            if forest and len(at):
+                reached, first = np.unique(parts[at], return_index=True)
+                at = at[first]
+                parts[np.isin(parts, reached)] = parts[k]
             a.append(np.minimum(ids[k], ids[at]))
             b.append(np.maximum(ids[k], ids[at]))
     return (np.concatenate(a), np.concatenate(b)) if a else (empty, empty)
