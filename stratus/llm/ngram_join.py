@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.llm.components import connected_components
@@ -163,11 +163,13 @@ class NgramJoin:
     """The join of one table of documents; ``salt`` changes every hash."""
 
     def __init__(self, docs: DataFrame, n: int, percent: int, doc_id: str, text: str, salt: int = 0):
-        self.rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+        self.rows = docs.select(
+            F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("body")
+        )
         self.n, self.bands, self.salt = n, Bands(percent), salt
         self.sets = store(self._sets(), "ngram-sets")
         self.sketches = store(
-            self.sets.filter("n_shingles > 0").select("id", "n_shingles", "sketch").dropDuplicates(["id"]), "ngram-sketches"
+            self.sets.filter("n_shingles > 0").select("id", "n_shingles", "sketch", "body").dropDuplicates(["id"]), "ngram-sketches"
         )
 
     def _sets(self) -> DataFrame:
@@ -181,11 +183,11 @@ class NgramJoin:
                 parts = np.split(hashed, np.cumsum(sizes)[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(sizes), pa.array(signed(first)), pa.array(signed(second)),
-                     pa.array([sketch(p) for p in parts], pa.binary())],
-                    ["doc_id", "n_shingles", "id", "check", "sketch"],
+                     pa.array([sketch(p) for p in parts], pa.binary()), batch.column("body")],
+                    ["doc_id", "n_shingles", "id", "check", "sketch", "body"],
                 )
 
-        return self.rows.mapInArrow(run, "doc_id long, n_shingles long, id long, check long, sketch binary")
+        return self.rows.mapInArrow(run, "doc_id long, n_shingles long, id long, check long, sketch binary, body long")
 
     def collided(self) -> bool:
         """Whether two different sets share their 64-bit id; the second hash and the size tell."""
@@ -223,8 +225,8 @@ class NgramJoin:
     def close(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` of ids that sizes and sketches do not rule out."""
         bands = self.bands
-        a = self.sketches.toDF("a", "size_a", "sketch_a")
-        b = self.sketches.toDF("b", "size_b", "sketch_b")
+        plain = self.sketches.drop("body")
+        a, b = plain.toDF("a", "size_a", "sketch_a"), plain.toDF("b", "size_b", "sketch_b")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -247,19 +249,16 @@ class NgramJoin:
             return pairs
         n, salt, percent = self.n, self.salt, self.bands.percent
         needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        words = id_filter(needed)
+        # One text of each set that is needed, told by its hash before Python sees it.
+        bodies = self.sketches.join(needed, "id", "left_semi").select("body")
 
         def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches, "text"):
                 row, hashed, sizes = shingles(batch.column("text"), n)
                 first, _ = set_ids(row, hashed, len(sizes), salt)
-                at = first % np.uint64(FILTER_BITS)
-                wanted = words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(first)), batch.column("text")], ["id", "text"]).filter(
-                    pa.array(wanted.astype(bool))
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(signed(first)), batch.column("text")], ["id", "text"])
 
-        texts = self.rows.select("text").mapInArrow(named, "id long, text string").join(needed, "id", "left_semi")
+        texts = self.rows.filter(held("body", bodies)).select("text").mapInArrow(named, "id long, text string").join(needed, "id", "left_semi")
         texts = store(texts.dropDuplicates(["id"]), f"{name}-texts")
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,14 +333,21 @@ class NgramJoin:
         return rows.join(least, "part", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bit set for the low bits of every id; as many rows as it has words reach the driver at most."""
-    place = F.pmod("id", F.lit(FILTER_BITS))
-    bit = F.expr(f"shiftleft(1L, cast(pmod(id, {FILTER_BITS}) % 64 as int))")
+def held(value: str, values: DataFrame) -> Column:
+    """False only for values that are not in the one column of hashes ``values``; true for few others.
+
+    A set of bits by the low bits of every hash, as a constant of the plan. As many rows as it has words reach the
+    driver at most.
+    """
+    (name,) = values.columns
+    place = F.pmod(name, F.lit(FILTER_BITS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod({name}, {FILTER_BITS}) % 64 as int))")
     words = np.zeros(FILTER_BITS // 64, np.uint64)
-    for row in ids.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect():
+    for row in values.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect():
         words[row["word"]] = row["bits"] % 2**64
-    return words
+    place = F.pmod(value, F.lit(FILTER_BITS))
+    byte = F.conv(F.hex(F.substr(F.lit(words.tobytes()), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10)
+    return F.getbit(byte.cast("int"), (place % 8).cast("int")) == 1
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
