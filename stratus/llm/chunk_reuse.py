@@ -77,31 +77,35 @@ class ChunkEncoder:
     def text(self, parts: list[bytes]) -> Encoded:
         if not parts:
             return b"", b""
-        out = [self.chunk(p) for p in parts]
+        parts, out = list(parts), [self.chunk(p) for p in parts]
         for k in range(1, len(parts)):
-            out[k - 1], out[k] = self.joined(parts[k - 1], parts[k], out[k - 1], out[k])
+            if not self.agrees(parts[k - 1], parts[k], out[k - 1], out[k]):
+                # From here on the two are one part, for the next join too.
+                parts[k] = parts[k - 1] + parts[k]
+                out[k - 1], out[k] = (b"", b""), self.exact(parts[k])
         return b"".join([o[0] for o in out]), b"".join([o[1] for o in out])
 
-    def joined(self, left: bytes, right: bytes, a: Encoded, b: Encoded) -> tuple[Encoded, Encoded]:
-        """The codes of two neighbours, mended where encoding across their join gives something else.
+    def agrees(self, left: bytes, right: bytes, a: Encoded, b: Encoded) -> bool:
+        """Whether encoding across the join of two neighbours gives what they have.
 
         The last words of one and the first words of the other are encoded together, twice as many each time, until that
-        agrees with what stands there; at the latest the two are encoded as one.
+        agrees; if it never does, up to the whole of both, the two have to be encoded as one.
         """
         lw, rw = left.split()[-1:], right.split(None, 1)[:1]
-        key = (lw[0] if lw else b"", rw[0] if rw else b"")
-        if key not in self.agreed:
-            self.agreed[key] = self.exact(b" ".join(key))[0] == self.exact(key[0])[0] + self.exact(key[1])[0]
-        if self.agreed[key] and left[-1:].isspace():
-            return a, b
-        n, ls, rs = 2, left.split(), right.split()
-        while n < max(len(ls), len(rs)):
+        if left[-1:].isspace() and lw and rw:
+            key = (lw[0], rw[0])
+            if key not in self.agreed:
+                self.agreed[key] = self.exact(b" ".join(key))[0] == self.exact(key[0])[0] + self.exact(key[1])[0]
+            if self.agreed[key]:
+                return True
+        n, ls, rs = 1, left.split(), right.split()
+        while n < 2 * max(len(ls), len(rs)):
             tail, head = left[_place(left, len(ls) - n) :], right[: _place(right, n)]
             ta, hb = self.exact(tail)[0], self.exact(head)[0]
             if a[0].endswith(ta) and b[0].startswith(hb) and self.exact(tail + head)[0] == ta + hb:
-                return a, b
+                return True
             n *= 2
-        return self.exact(left + right), (b"", b"")
+        return False
 
 
 def _place(part: bytes, word: int) -> int:
