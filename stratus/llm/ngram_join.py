@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratus.llm.components import connected_components
@@ -249,16 +249,16 @@ class NgramJoin:
             return pairs
         n, salt, percent = self.n, self.salt, self.bands.percent
         needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        # One text of each set that is needed, told by its hash before Python sees it.
-        bodies = self.sketches.join(needed, "id", "left_semi").select("body")
+        # One text of each set that is needed; its hash tells it, so no other text is cut into words or shuffled.
+        bits = hash_bits(self.sketches.join(needed, "id", "left_semi").select("body"))
 
         def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in pieces(batches, "text"):
+            for batch in pieces(filtered(batches, "body", bits), "text"):
                 row, hashed, sizes = shingles(batch.column("text"), n)
                 first, _ = set_ids(row, hashed, len(sizes), salt)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(first)), batch.column("text")], ["id", "text"])
 
-        texts = self.rows.filter(held("body", bodies)).select("text").mapInArrow(named, "id long, text string").join(needed, "id", "left_semi")
+        texts = self.rows.select("text", "body").mapInArrow(named, "id long, text string").join(needed, "id", "left_semi")
         texts = store(texts.dropDuplicates(["id"]), f"{name}-texts")
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,21 +333,24 @@ class NgramJoin:
         return rows.join(least, "part", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
-def held(value: str, values: DataFrame) -> Column:
-    """False only for values that are not in the one column of hashes ``values``; true for few others.
-
-    A set of bits by the low bits of every hash, as a constant of the plan. As many rows as it has words reach the
-    driver at most.
-    """
+def hash_bits(values: DataFrame) -> np.ndarray:
+    """A bit for the low bits of every value of a column of hashes; as many rows as it has words reach the driver at
+    most."""
     (name,) = values.columns
     place = F.pmod(name, F.lit(FILTER_BITS))
     bit = F.expr(f"shiftleft(1L, cast(pmod({name}, {FILTER_BITS}) % 64 as int))")
     words = np.zeros(FILTER_BITS // 64, np.uint64)
     for row in values.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect():
         words[row["word"]] = row["bits"] % 2**64
-    place = F.pmod(value, F.lit(FILTER_BITS))
-    byte = F.conv(F.hex(F.substr(F.lit(words.tobytes()), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10)
-    return F.getbit(byte.cast("int"), (place % 8).cast("int")) == 1
+    return words
+
+
+def filtered(batches: Iterator[pa.RecordBatch], column: str, words: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows whose hash has its bit: all that were counted in, and few others."""
+    for batch in batches:
+        at = batch.column(column).to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)
+        has = words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
+        yield batch.filter(pa.array(has.astype(bool)))
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
