@@ -11,16 +11,21 @@ from stratus.plans.marts import condition_parts
 PART_KEYS = ["city_name", "date_day", "weather_condition"]
 
 
-def event_time(rows: DataFrame, ts: str, lateness: str) -> DataFrame:
-    """Watermarked rows; a watermark needs a zoned time, so local times are read in the session zone."""
-    return rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
+def event_time(rows: DataFrame, ts: str, lateness: str | None) -> DataFrame:
+    """Rows with a zoned time, local times read in the session zone; watermarked if a lateness is given.
+
+    With a lateness the state is bounded and later rows are refused. Without one no row is late, whatever order
+    the files of a backlog come in.
+    """
+    zoned = rows.withColumn(ts, F.col(ts).cast("timestamp"))
+    return zoned if lateness is None else zoned.withWatermark(ts, lateness)
 
 
-def daily_parts(observations: DataFrame, ts: str = "measured_at", lateness: str = "7 days") -> DataFrame:
+def daily_parts(observations: DataFrame, ts: str = "measured_at", lateness: str | None = None) -> DataFrame:
     """Daily parts per city and condition, kept up to date (update mode).
 
     ``plans.marts.merge_parts`` turns the stored parts into the daily summary.
-    The watermark bounds the state to the days that may still change.
+    Without a lateness the state is one row per city, condition and day; with one, the days that may still change.
     """
     day = F.window(ts, "1 day")
     parts = condition_parts(event_time(observations, ts, lateness), day)
@@ -29,7 +34,7 @@ def daily_parts(observations: DataFrame, ts: str = "measured_at", lateness: str
 
 def sliding_totals(
     samples: DataFrame, keys: list[str], value: str, ts: str = "ts",
-    window: str = "5 minutes", step: str = "1 minute", lateness: str = "1 hour",
+    window: str = "5 minutes", step: str = "1 minute", lateness: str | None = None,
 ) -> DataFrame:
     """Sum and count per series over sliding windows (update mode).
 
@@ -46,9 +51,10 @@ def per_second(totals: DataFrame, window_seconds: float) -> DataFrame:
     return totals.withColumn("rate", F.col("total") / F.lit(float(window_seconds)))
 
 
-def drop_repeats(rows: DataFrame, row_id: str, ts: str, lateness: str = "7 days") -> DataFrame:
-    """First arrival of every row id; ids are forgotten once the watermark has passed them."""
-    return event_time(rows, ts, lateness).dropDuplicatesWithinWatermark([row_id])
+def drop_repeats(rows: DataFrame, row_id: str, ts: str, lateness: str | None = None) -> DataFrame:
+    """First arrival of every row id. With a lateness, ids are forgotten once the watermark has passed them."""
+    timed = event_time(rows, ts, lateness)
+    return timed.dropDuplicates([row_id]) if lateness is None else timed.dropDuplicatesWithinWatermark([row_id])
 
 
 def contract_stream(rows: DataFrame, raw: str, contract: Contract) -> DataFrame:
