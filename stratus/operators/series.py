@@ -59,13 +59,13 @@ def _same_labels(left: DataFrame, right: DataFrame, labels: list[str]) -> Column
 
 def series_and(left: DataFrame, right: DataFrame, labels: list[str]) -> DataFrame:
     """Left rows whose label set also occurs on the right."""
-    keys = right.select(*labels).distinct()
+    keys = right.select(*labels)
     return left.join(keys, _same_labels(left, keys, labels), "left_semi")
 
 
 def series_or(left: DataFrame, right: DataFrame, labels: list[str]) -> DataFrame:
     """All left rows, then the right rows whose label set is not on the left."""
-    keys = left.select(*labels).distinct()
+    keys = left.select(*labels)
     return left.unionByName(right.join(keys, _same_labels(right, keys, labels), "left_anti"))
 
 
