@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratus.llm import (
     chunk_reuse, exact_dedup, importance, ngram_join, packing, pii, quality_rules, substring_dedup, token_counts, url_filters,
 )
-from stratus.llm.tables import read_table
+from stratus.llm.tables import read_table, store
 from stratus.session import work_path
 
 #: Fixed values of the registered url rules.
@@ -61,20 +61,30 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents are counted, recounted without markup signs, counted by a second version, and the toxic deleted."""
     docs = read_table(spark, sf_dir, "documents")
     clean = F.translate(F.col("text"), "#*$%&|<>", "")
+    # Every text is read once; what follows moves counts only, so no join has to shuffle texts.
+    counted = store(
+        docs.select(
+            "doc_id", "source", "lang",
+            token_counts.count_tokens(F.col("text"), "words-1").alias("first"),
+            token_counts.count_tokens(clean, "words-1").alias("words-1"),
+            token_counts.count_tokens(clean, "kinds-1").alias("kinds-1"),
+        ),
+        "token-counts-by-document",
+    )
     toxic = read_table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id").distinct()
-    gone = docs.join(toxic, "doc_id", "left_semi")
+    gone = counted.join(toxic, "doc_id", "left_semi")
+
+    def under(rows: DataFrame, version: str, tokens: str) -> DataFrame:
+        return rows.select("source", "lang", F.lit(version).alias("tokenizer"), F.col(tokens).alias("tokens"))
 
     rollup = token_counts.TokenRollup(spark, work_path(spark, "token-counts"))
-    first = token_counts.inserts(token_counts.counts(docs, "words-1", F.col("text")))
-    recount = docs.select(
-        "source", "lang", F.lit("words-1").alias("tokenizer"),
-        token_counts.count_tokens(F.col("text"), "words-1").alias("before"),
-        token_counts.count_tokens(clean, "words-1").alias("after"),
+    recount = counted.select(
+        "source", "lang", F.lit("words-1").alias("tokenizer"), F.col("first").alias("before"), F.col("words-1").alias("after")
     )
-    rollup.commit("1-inserts", first)
+    rollup.commit("1-inserts", token_counts.inserts(under(counted, "words-1", "first")))
     rollup.commit("2-recount", token_counts.revisions(recount))
-    rollup.commit("3-version", token_counts.inserts(token_counts.counts(docs, "kinds-1", clean)))
-    leaving = [token_counts.deletes(token_counts.counts(gone, v, clean)) for v in ("words-1", "kinds-1")]
+    rollup.commit("3-version", token_counts.inserts(under(counted, "kinds-1", "kinds-1")))
+    leaving = [token_counts.deletes(under(gone, v, v)) for v in ("words-1", "kinds-1")]
     rollup.commit("4-deletes", leaving[0].unionByName(leaving[1]))
     rollup.compact()
     # Sent again, as after a failure: it is known and counts once.
