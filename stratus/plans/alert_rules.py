@@ -1,8 +1,9 @@
 """The shipped alert rules, evaluated over samples and held for their required time.
 
-Samples are ``(name, instance, device, mode, fstype, event_id, ts, value)``;
-``instance`` is the host, job or container a sample is about. The samples are
-first reduced to facts, a few rows per series and step: the last value, and
+Samples are ``(name, labels..., event_id, ts, value)``, one string column per label. The
+rules name the labels ``instance`` (the host, job or container a sample is about), ``device``,
+``mode`` and ``fstype``; every further one, such as a processor or a mount point, tells series
+apart and stays in the result. The samples are first reduced to facts, a few rows per series and step: the last value, and
 growth or changes over trailing windows. All rules read the facts.
 """
 
@@ -21,7 +22,7 @@ from stratus.operators.series import absent_series
 from stratus.operators.slices import over_windows, pairwise_steps, run_lengths, slice_number, step_end
 from stratus.session import materialise
 
-LABELS = ["instance", "device", "mode", "fstype"]
+NOT_LABELS = {"name", "event_id", "ts", "value", "at", "measure"}
 STACK = {"instance": "airflow.*|redis|minio|postgres"}
 WINDOWS = {"5m": 300, "15m": 900, "1h": 3600}
 
@@ -112,6 +113,11 @@ ABSENCE_RULES = (
 )
 
 
+def labels_of(rows: DataFrame) -> list[str]:
+    """The label columns of samples or facts."""
+    return [c for c in rows.columns if c not in NOT_LABELS]
+
+
 def all_named() -> list[Named]:
     return [r[0] for r in (*SINGLE_RULES, STALE_RULE, *SHARE_RULES, *PAIR_RULES, CPU_RULE)]
 
@@ -129,7 +135,7 @@ def rule_facts(samples: DataFrame, step: float = 60) -> DataFrame:
     def metrics(kind: str) -> list[str]:
         return sorted({metric for metric, measure in used if measure.split("_")[0] == kind})
 
-    keys = ["name", *LABELS]
+    keys = ["name", *labels_of(samples)]
     newest = samples.where(F.col("name").isin(metrics("last"))).groupBy(*keys, slice_number("ts", step).alias("_step"))
     parts = [
         newest.agg(F.max_by("value", F.struct("ts", "event_id")).alias("value")).select(
@@ -161,7 +167,7 @@ def _single_truths(facts: DataFrame) -> DataFrame:
     rule, fact, age = STALE_RULE
     rows.append(F.when(fact.here(), rule.row(epoch_micros("at") / F.lit(1e6) - F.col("value") > age)))
     hits = F.filter(F.array(*rows), lambda r: r.isNotNull())
-    return facts.select(*LABELS, "at", F.inline(hits))
+    return facts.select(*labels_of(facts), "at", F.inline(hits))
 
 
 def _paired_truths(facts: DataFrame) -> DataFrame:
@@ -185,16 +191,18 @@ def _paired_truths(facts: DataFrame) -> DataFrame:
         truth = reduce(lambda a, b: a & b, [_compare(s["value"], c, b) for s, c, b in found])
         rows.append(F.when(there, rule.row(truth)))
     hits = F.filter(F.array(*rows), lambda r: r.isNotNull())
-    return facts.groupBy(*LABELS, "at").agg(*sides).select(*LABELS, "at", F.inline(hits))
+    labels = labels_of(facts)
+    return facts.groupBy(*labels, "at").agg(*sides).select(*labels, "at", F.inline(hits))
 
 
 def _processor_truths(facts: DataFrame) -> DataFrame:
+    """A host's processors are series of their own; their mean is taken after the growth of each."""
     rule, fact, window, bound = CPU_RULE
     idle = facts.where(fact.here()).groupBy("instance", "at").agg(F.avg(F.col("value") / F.lit(float(window))).alias("idle"))
     busy = F.lit(100.0) - F.col("idle") * 100
-    none = [F.lit(None).cast("string").alias(label) for label in LABELS if label != "instance"]
+    labels = [F.col(c) if c == "instance" else F.lit(None).cast("string").alias(c) for c in labels_of(facts)]
     known = idle.where(F.col("idle").isNotNull())
-    return known.select("instance", *none, "at", F.inline(F.array(rule.row(busy > bound))))
+    return known.select(*labels, "at", F.inline(F.array(rule.row(busy > bound))))
 
 
 def rule_truths(facts: DataFrame) -> DataFrame:
@@ -209,11 +217,11 @@ def held_rule_alerts(samples: DataFrame, step: float = 60, slice_seconds: float
     per series and step, whatever the number of samples.
     """
     facts = materialise(rule_facts(samples, step), "rule_facts")
-    keys = ["alertname", "severity", "component", "hold_seconds", *LABELS]
+    keys = ["alertname", "severity", "component", "hold_seconds", *labels_of(samples)]
     runs = run_lengths(rule_truths(facts), keys, "at", F.col("truth"), "at", slice_seconds)
     held = seconds_between("started_at", "ended_at")
     return runs.where(F.col("state") & (held >= F.col("hold_seconds"))).select(
-        "alertname", "severity", "component", *LABELS, "started_at", "ended_at", "samples"
+        "alertname", "severity", "component", *labels_of(samples), "started_at", "ended_at", "samples"
     )
 
 

@@ -463,8 +463,9 @@ def alert_throttle(spark, sf_dir):
 
 # -- all shipped rules ----------------------------------------------------------
 
+NO_MOUNT = "cast(NULL AS varchar) AS mountpoint"
 PLAIN_TRUTHS = " UNION ALL ".join(
-    f"SELECT '{r.alert}' AS alertname, {r.hold} AS hold, instance, device, step, value "
+    f"SELECT '{r.alert}' AS alertname, {r.hold} AS hold, instance, device, mountpoint, step, value "
     f"{'=' if r.comparison == '==' else r.comparison} {r.threshold} AS truth FROM last WHERE name = '{r.metric}'"
     + "".join(f" AND regexp_full_match({label}, '{pattern}')" for label, pattern in r.labels.items())
     for r in THRESHOLD_RULES
@@ -474,27 +475,28 @@ PLAIN_TRUTHS = " UNION ALL ".join(
 def _windowed(alert: str, hold: int, metric: str, share: str, window: int, truth: str, where: str = "true") -> str:
     pair = "CASE WHEN v < p THEN v ELSE v - p END" if share == "growth" else "CASE WHEN v <> p THEN 1 ELSE 0 END"
     return f"""
-SELECT '{alert}' AS alertname, {hold} AS hold, instance, device, step, samples >= 2 AND {truth} AS truth FROM (
-  SELECT i.instance, i.device, i.step, count(*) AS samples,
+SELECT '{alert}' AS alertname, {hold} AS hold, instance, device, {NO_MOUNT}, step, samples >= 2 AND {truth} AS truth FROM (
+  SELECT i.instance, i.device, i.cpu, i.step, count(*) AS samples,
     sum(CASE WHEN s.pus >= (i.step + 1) * 60000000 - {window * 1_000_000} THEN {pair} ELSE 0 END) AS total
-  FROM (SELECT DISTINCT instance, device, step FROM pairs WHERE name = '{metric}' AND {where}) i
+  FROM (SELECT DISTINCT instance, device, cpu, step FROM pairs WHERE name = '{metric}' AND {where}) i
   JOIN (SELECT * FROM pairs WHERE name = '{metric}' AND {where}) s
-    ON s.instance = i.instance AND s.device IS NOT DISTINCT FROM i.device AND s.us < (i.step + 1) * 60000000
+    ON s.instance = i.instance AND s.device IS NOT DISTINCT FROM i.device
+    AND s.cpu IS NOT DISTINCT FROM i.cpu AND s.us < (i.step + 1) * 60000000
     AND s.us >= (i.step + 1) * 60000000 - {window * 1_000_000}
-  GROUP BY i.instance, i.device, i.step)"""
+  GROUP BY i.instance, i.device, i.cpu, i.step)"""
 
 
 def _shares(alert: str, part: str, whole: str, truth: str, where: str = "true") -> str:
     return f"""
-SELECT '{alert}' AS alertname, 300 AS hold, a.instance, a.device, a.step, {truth} AS truth
+SELECT '{alert}' AS alertname, 300 AS hold, a.instance, a.device, a.mountpoint, a.step, {truth} AS truth
 FROM (SELECT * FROM {'last_disk' if where != 'true' else 'last'} WHERE name = '{part}') a
 JOIN (SELECT * FROM {'last_disk' if where != 'true' else 'last'} WHERE name = '{whole}') b
-  ON a.instance = b.instance AND a.step = b.step"""
+  ON a.instance = b.instance AND a.step = b.step AND a.mountpoint IS NOT DISTINCT FROM b.mountpoint"""
 
 
 def _and(alert: str, hold: int, first: str, second: str) -> str:
     return f"""
-SELECT '{alert}' AS alertname, {hold} AS hold, instance, device, step, count(*) FILTER (truth) = 2 AS truth
+SELECT '{alert}' AS alertname, {hold} AS hold, instance, device, {NO_MOUNT}, step, count(*) FILTER (truth) = 2 AS truth
 FROM ({first} UNION ALL {second}) GROUP BY instance, device, step"""
 
 
@@ -513,12 +515,11 @@ COMPUTED_TRUTHS = " UNION ALL ".join([
     ),
     _shares("ContainerHighMemory", "docker_container_memory_usage_bytes", "docker_container_memory_limit_bytes",
             "a.value / b.value * 100 > 85"),
-    """SELECT 'PipelineDataStale', 600, instance, device, step, (step + 1) * 60 - value > 86400
+    """SELECT 'PipelineDataStale', 600, instance, device, mountpoint, step, (step + 1) * 60 - value > 86400
   FROM last WHERE name = 'push_time_seconds'""",
-    f"""SELECT 'HostHighCPU', 300, instance, device, step, 100.0e0 - total / 300.0e0 * 100 > 85 FROM (
-  SELECT *, NULL AS x FROM ({_windowed(
+    f"""SELECT 'HostHighCPU', 300, instance, device, {NO_MOUNT}, step, 100.0e0 - avg(total / 300.0e0) * 100 > 85 FROM ({_windowed(
       "x", 0, "node_cpu_seconds_total", "growth", 300, "total >= 0", "mode = 'idle'"
-  ).replace("samples >= 2 AND total >= 0 AS truth", "samples, total")}) WHERE samples >= 2)""",
+  ).replace("samples >= 2 AND total >= 0 AS truth", "samples, total")}) WHERE samples >= 2 GROUP BY instance, device, step""",
     _shares("HostHighMemory", "node_memory_MemAvailable_bytes", "node_memory_MemTotal_bytes",
             "(1 - a.value / b.value) * 100 > 85"),
     _shares("HostDiskSpaceLow", "node_filesystem_avail_bytes", "node_filesystem_size_bytes",
@@ -535,31 +536,32 @@ RULE_OWNERS = {r.alert: (r.severity, r.component) for r in alert_rules.all_named
 
 @query("alert_rules", with_views("fast", "samples", f"""
 WITH pairs AS (
-  SELECT name, instance, device, mode, epoch_us(ts) AS us, epoch_us(ts) // 60000000 AS step, value AS v,
+  SELECT name, instance, device, mode, cpu, epoch_us(ts) AS us, epoch_us(ts) // 60000000 AS step, value AS v,
     lag(value) OVER w AS p, lag(epoch_us(ts)) OVER w AS pus FROM samples
-  WINDOW w AS (PARTITION BY name, instance, device, mode ORDER BY ts, event_id)
+  WINDOW w AS (PARTITION BY name, instance, device, mode, cpu ORDER BY ts, event_id)
 ),
 last AS (
-  SELECT name, instance, device, epoch_us(ts) // 60000000 AS step, arg_max(value, (ts, event_id)) AS value
+  SELECT name, instance, device, mountpoint, epoch_us(ts) // 60000000 AS step, arg_max(value, (ts, event_id)) AS value
   FROM samples GROUP BY ALL
 ),
 last_disk AS (
-  SELECT name, instance, device, epoch_us(ts) // 60000000 AS step, arg_max(value, (ts, event_id)) AS value
+  SELECT name, instance, device, mountpoint, epoch_us(ts) // 60000000 AS step, arg_max(value, (ts, event_id)) AS value
   FROM samples WHERE fstype IS DISTINCT FROM 'tmpfs' GROUP BY ALL
 ),
 truths AS ({PLAIN_TRUTHS} UNION ALL {COMPUTED_TRUTHS}),
 islands AS (
-  SELECT *, row_number() OVER (PARTITION BY alertname, instance, device ORDER BY step)
-    - row_number() OVER (PARTITION BY alertname, instance, device, truth ORDER BY step) AS island FROM truths
+  SELECT *, row_number() OVER (PARTITION BY alertname, instance, device, mountpoint ORDER BY step)
+    - row_number() OVER (PARTITION BY alertname, instance, device, mountpoint, truth ORDER BY step) AS island FROM truths
 ),
 held AS (
-  SELECT alertname, instance, device, make_timestamp((min(step) + 1) * 60000000) AS started_at,
+  SELECT alertname, instance, device, mountpoint, make_timestamp((min(step) + 1) * 60000000) AS started_at,
     make_timestamp((max(step) + 1) * 60000000) AS ended_at, count(*) AS samples
-  FROM islands WHERE truth GROUP BY alertname, hold, instance, device, island
+  FROM islands WHERE truth GROUP BY alertname, hold, instance, device, mountpoint, island
   HAVING (max(step) - min(step)) * 60 >= hold
 )
 SELECT alertname, severity, component, instance, device, cast(NULL AS varchar) AS mode,
-  CASE alertname WHEN 'HostDiskSpaceLow' THEN 'ext4' END AS fstype, started_at, ended_at, samples FROM held JOIN (VALUES
+  CASE alertname WHEN 'HostDiskSpaceLow' THEN 'ext4' END AS fstype,
+  cast(NULL AS varchar) AS cpu, mountpoint, started_at, ended_at, samples FROM held JOIN (VALUES
   {', '.join(f"('{name}', '{severity}', '{part}')" for name, (severity, part) in RULE_OWNERS.items())}
 ) o(alertname, severity, component) USING (alertname)
 """))

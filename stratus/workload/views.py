@@ -294,6 +294,8 @@ RULE_INSTANCES = ("airflow-scheduler", "redis", "pushgateway", "prometheus")
 RULE_DEVICE = "CASE WHEN name LIKE 'node_network%' THEN CASE WHEN u % 8 < 4 THEN 'eth0' ELSE 'lo' END END"
 RULE_MODE = "CASE WHEN name = 'node_cpu_seconds_total' THEN CASE WHEN u % 16 < 8 THEN 'idle' ELSE 'user' END END"
 RULE_FSTYPE = "CASE WHEN name LIKE 'node_filesystem%' THEN CASE WHEN u % 8 < 4 THEN 'ext4' ELSE 'tmpfs' END END"
+RULE_CPU = "CASE WHEN name = 'node_cpu_seconds_total' THEN CASE WHEN u % 32 < 16 THEN '0' ELSE '1' END END"
+RULE_MOUNT = "CASE WHEN name LIKE 'node_filesystem%' THEN CASE WHEN u % 16 < 8 THEN '/' ELSE '/data' END END"
 _RULE_INSTANCE = "CASE u % 4 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(RULE_INSTANCES)) + " END"
 
 
@@ -312,13 +314,13 @@ def rule_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     ) + " END"
     return events.select("event_id", "ts", "u", F.expr(f"inline({arrays})")).selectExpr(
         "name", f"{_RULE_INSTANCE} AS instance", f"{RULE_DEVICE} AS device", f"{RULE_MODE} AS mode",
-        f"{RULE_FSTYPE} AS fstype", "event_id", "ts", "v AS value",
+        f"{RULE_FSTYPE} AS fstype", f"{RULE_CPU} AS cpu", f"{RULE_MOUNT} AS mountpoint", "event_id", "ts", "v AS value",
     )
 
 
 RULE_SAMPLES_SQL = f"""
 SELECT name, {_RULE_INSTANCE} AS instance, {RULE_DEVICE} AS device, {RULE_MODE} AS mode, {RULE_FSTYPE} AS fstype,
-  event_id, ts, value
+  {RULE_CPU} AS cpu, {RULE_MOUNT} AS mountpoint, event_id, ts, value
 FROM ({' UNION ALL '.join(
     f"SELECT event_id, u, ts, '{name}' AS name, cast({value} AS double) AS value FROM fast WHERE event_type = '{kind}'"
     for kind, pairs in RULE_SAMPLES.items() for name, value in pairs)})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratus.operators import alerts, anomaly, logs, runs, series
 from stratus.operators.alerts import Rule
+from stratus.plans import alert_rules
 
 NOW = datetime(2024, 1, 10, 12)
 RUN = "dag_id string, run_id bigint, state string, start_date timestamp_ntz, end_date timestamp_ntz"
@@ -204,3 +205,32 @@ def test_volume_anomaly_fills_empty_days(spark):
     past = np.array(counts[:9])
     assert got[9].z_score == pytest.approx((40 - past.mean()) / past.std(ddof=1))
     assert [r.is_anomaly for r in got] == [False] * 7 + [True, False, True]
+
+
+def host_samples(spark, *series):
+    """One sample a minute for a quarter of an hour; a series is its name, labels, first value and growth per minute."""
+    start, labels = datetime(2024, 1, 1), ["instance", "device", "mode", "fstype", "cpu", "mountpoint"]
+    rows = [
+        (name, *[own.get(c) for c in labels], minute, start + timedelta(minutes=minute), first + growth * minute)
+        for name, own, first, growth in series for minute in range(15)
+    ]
+    columns = ", ".join(f"{c} string" for c in ["name", *labels])
+    return spark.createDataFrame(rows, f"{columns}, event_id long, ts timestamp_ntz, value double")
+
+
+def test_processors_of_a_host_are_series_of_their_own(spark):
+    idle = [
+        ("node_cpu_seconds_total", {"instance": host, "mode": "idle", "cpu": cpu}, first, growth)
+        for host, growth in (("busy", 2.0), ("calm", 50.0)) for cpu, first in (("0", 1_000.0), ("1", 100_000.0))
+    ]
+    found = alert_rules.held_rule_alerts(host_samples(spark, *idle)).select("alertname", "instance", "cpu").collect()
+    assert [tuple(r) for r in found] == [("HostHighCPU", "busy", None)]
+
+
+def test_a_full_mount_next_to_an_empty_one(spark):
+    disks = [
+        (f"node_filesystem_{part}_bytes", {"instance": "h", "fstype": "ext4", "mountpoint": mount}, value, 0.0)
+        for mount, free in (("/", 5.0), ("/data", 90.0)) for part, value in (("avail", free), ("size", 100.0))
+    ]
+    found = alert_rules.held_rule_alerts(host_samples(spark, *disks)).select("alertname", "mountpoint").collect()
+    assert [tuple(r) for r in found] == [("HostDiskSpaceLow", "/")]
