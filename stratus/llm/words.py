@@ -18,6 +18,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
+#: The inverse of BASE modulo 2**64; both are odd.
+INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
+MAX_POWERS = 1 << 22
 STEP = np.uint64(0xD1342543DE82EF95)
 
 
@@ -68,6 +71,25 @@ class Words:
         return first, self.rolling(width)[first]
 
 
+_powers = (np.empty(0, np.uint64), np.empty(0, np.uint64))
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of BASE, from the first on, and of its inverse, from the zeroth on.
+
+    Up to MAX_POWERS are kept for the next call; a longer text makes its own.
+    """
+    global _powers
+    if len(_powers[0]) >= n:
+        return _powers
+    size = 1 << max(16, (n - 1).bit_length())
+    up = np.multiply.accumulate(np.full(size, BASE))
+    down = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, INVERSE)]))
+    if size <= MAX_POWERS:
+        _powers = (up, down)
+    return up, down
+
+
 def words_of(texts: pa.Array, classes: np.ndarray = BY_SPACE, lower: bool = False) -> Words:
     """Maximal runs of bytes of one class; a null text has none."""
     if isinstance(texts, pa.ChunkedArray):
@@ -91,13 +113,11 @@ def words_of(texts: pa.Array, classes: np.ndarray = BY_SPACE, lower: bool = Fals
     row = np.searchsorted(places, start, side="right") - 1
     if not len(start):
         return Words(data, row, start, end, np.empty(0, np.uint64), rows)
-    # Every byte counts with a power of its place in the word; the sum runs over the word's bytes only.
-    length = end - start
-    first = np.cumsum(length) - length
-    within = np.arange(int(length.sum())) - np.repeat(first, length)
-    powers = np.multiply.accumulate(np.full(int(length.max()), BASE))
-    terms = (data[np.repeat(start, length) + within].astype(np.uint64) + np.uint64(1)) * powers[within]
-    return Words(data, row, start, end, mix(np.add.reduceat(terms, first)), rows)
+    # Every byte counts with a power of its place in the word: the sums up to the word's ends, less the power of its start.
+    up, down = powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return Words(data, row, start, end, mix((sums[end] - sums[start]) * down[start]), rows)
 
 
 def signed(x: np.ndarray) -> np.ndarray:
