@@ -56,17 +56,18 @@ def shingles(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     A text with fewer words than ``n`` has its whole sequence as one.
     """
     w = words_of(texts, lower=True)
-    first, hashed = w.windows(n)
-    rows, counts, begin = [w.row[first]], w.counts(), w.firsts()
-    hashes = [hashed]
+    counts, begin = w.counts(), w.firsts()
+    held = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
+    place = np.cumsum(held) - held
+    row = np.repeat(np.arange(w.rows), held)
+    hashed = np.empty(len(row), np.uint64)
+    hashed[(counts >= n)[row]] = w.windows(n)[1]
     for short in range(1, n):
         own = np.flatnonzero(counts == short)
         if len(own):
-            rows.append(own)
-            hashes.append(w.rolling(short)[begin[own]])
-    row, hashed = np.concatenate(rows), np.concatenate(hashes)
-    order = np.lexsort((hashed, row))
-    row, hashed = row[order], hashed[order]
+            hashed[place[own]] = w.rolling(short)[begin[own]]
+    for a, b in zip(place.tolist(), (place + held).tolist(), strict=True):
+        hashed[a:b].sort()
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (hashed[1:] != hashed[:-1])
     row, hashed = row[new], hashed[new]
