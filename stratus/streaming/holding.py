@@ -6,10 +6,11 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from stratus.functions import seconds_between
 from stratus.streaming.jobs import event_time
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -75,7 +76,8 @@ def held_alerts(
     """One row per series whenever its condition has held for ``hold_seconds`` (append mode).
 
     Ticks are closed by the watermark and then reach the per-series state in
-    order. Set the session's state provider with ``use_keyed_state`` first.
+    order: for endless streams. The last ticks of one that ends stay open; for a
+    backlog keep ``evaluated_ticks`` up to date and use ``held_ticks``. Set the session's state provider with ``use_keyed_state`` first.
     """
     ticks = evaluated_ticks(samples, keys, condition, tick_seconds, ts, tiebreak, lateness)
     types = dict(ticks.dtypes)
@@ -85,5 +87,18 @@ def held_alerts(
     )
 
 
+def held_ticks(ticks: DataFrame, keys: list[str], hold_seconds: float) -> DataFrame:
+    """What ``held_alerts`` reports, from stored ticks: complete for any order of arrival, and up to the last tick.
+
+    A series is ordered as a whole; after ``evaluated_ticks`` it has one small row per tick, whatever its rate.
+    """
+    in_order = Window.partitionBy(*keys).orderBy("tick")
+    begins = F.col("truth") & ~F.coalesce(F.lag("truth").over(in_order), F.lit(False))
+    runs = ticks.withColumn("held_since", F.last(F.when(begins, F.col("tick")), ignorenulls=True).over(in_order))
+    runs = runs.withColumn("_held", F.col("truth") & (seconds_between("held_since", "tick") >= hold_seconds))
+    first = F.col("_held") & ~F.coalesce(F.lag("_held").over(in_order), F.lit(False))
+    return runs.withColumn("_first", first).where("_first").select(*keys, "held_since", F.col("tick").alias("fired_at"))
+
+
 def use_keyed_state(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)

@@ -83,12 +83,9 @@ WITH ticks AS (
   SELECT name, epoch_us(ts) // 1800000000 * 1800000000 AS tick, arg_max(value > 20, (ts, event_id)) AS truth
   FROM series GROUP BY ALL
 ),
-closed AS (
-  SELECT * FROM ticks WHERE tick + 1800000000 <= (SELECT max(epoch_us(ts)) // 1000 * 1000 - 3600000000 FROM series)
-),
 islands AS (
   SELECT name, tick, row_number() OVER (PARTITION BY name ORDER BY tick)
-    - row_number() OVER (PARTITION BY name, truth ORDER BY tick) AS island, truth FROM closed
+    - row_number() OVER (PARTITION BY name, truth ORDER BY tick) AS island, truth FROM ticks
 ),
 runs AS (SELECT name, island, min(tick) AS since FROM islands WHERE truth GROUP BY ALL)
 SELECT r.name, make_timestamp(r.since) AS held_since, make_timestamp(min(i.tick)) AS fired_at
@@ -97,8 +94,8 @@ GROUP BY r.name, r.since
 """))
 def stream_alert_hold(spark, sf_dir):
     """Alerts for values that stay high for an hour; a rule is evaluated every 30 minutes."""
-    holding.use_keyed_state(spark)
     samples = views.series_columns(event_stream(spark, sf_dir))
-    held = holding.held_alerts(samples, ["name"], F.col("value") > 20, hold_seconds=3_600, tick_seconds=1_800)
-    fired = running.finish_append(held, "hold")
+    ticks = holding.evaluated_ticks(samples, ["name"], F.col("value") > 20, tick_seconds=1_800)
+    current = running.finish_upsert(ticks, "hold", ["name", "tick"])
+    fired = holding.held_ticks(current, ["name"], hold_seconds=3_600)
     return fired.select("name", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("held_since", "fired_at")])

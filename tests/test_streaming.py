@@ -124,6 +124,25 @@ def test_held_alerts_keep_their_state_between_batches(spark):
     assert got == sorted((r.name, r.started_at, r.fires_from) for r in batch.collect())
 
 
+def test_held_ticks_do_not_depend_on_the_order_of_files(spark):
+    """Five files, the newest first, one per batch: alerts are those of the batch, up to the last tick."""
+    import time as clock
+
+    path = work_path(spark, "held-late")
+    high = {"a": [1, 1, 1, 1, 1, 1, 0, 1, 1, 1], "b": [1, 1, 0, 1, 1, 1, 1, 0, 0, 0]}
+    for part in (4, 3, 2, 1, 0):
+        land(spark, path, [
+            (name, 10 * i + k, START + timedelta(minutes=i, seconds=20 * k), float(values[i]) if k == 2 else 0.0)
+            for i in (2 * part, 2 * part + 1) for name, values in high.items() for k in range(3)
+        ], SAMPLE)
+        clock.sleep(1.1)  # files are taken in the order of their times
+    ticks = holding.evaluated_ticks(as_stream(spark, path, SAMPLE), ["name"], F.col("value") > 0, 60)
+    got = holding.held_ticks(running.finish_upsert(ticks, "held-late-ticks", ["name", "tick"]), ["name"], 120)
+    minute = [START + timedelta(minutes=i) for i in range(10)]
+    assert sorted((r.name, r.held_since, r.fired_at) for r in got.collect()) == [
+        ("a", minute[0], minute[2]), ("a", minute[7], minute[9]), ("b", minute[3], minute[5])]
+
+
 def test_throttle_keeps_its_state_between_batches(spark):
     holding.use_keyed_state(spark)
     path = work_path(spark, "alerts")
