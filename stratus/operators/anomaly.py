@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.functions import day_start
@@ -13,19 +13,23 @@ THRESHOLD = 3.0
 
 
 def volume_anomaly(
-    df: DataFrame, ts: str, days: int = BASELINE_DAYS, least: int = LEAST_DAYS, threshold: float = THRESHOLD
+    df: DataFrame, ts: str, days: int = BASELINE_DAYS, least: int = LEAST_DAYS, threshold: float = THRESHOLD,
+    where: Column | None = None,
 ) -> DataFrame:
     """Daily row counts with their z-score against the previous days.
 
     Days without rows count as zero. A day with fewer than ``least`` days
     before it, or whose past days were all alike, has no score and is not flagged.
+    ``where`` chooses the rows that count, such as those of the last days.
     After the first aggregate there is one row per calendar day.
     """
-    counted = df.where(F.col(ts).isNotNull()).groupBy(day_start(ts).alias("day")).agg(F.count("*").alias("n"))
-    span = counted.agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    rows = df.where(F.col(ts).isNotNull())
+    counted = (rows if where is None else rows.where(where)).groupBy(day_start(ts).alias("first")).agg(F.count("*").alias("n"))
+    # Every day with rows also stands for the empty ones up to the next, so the counts are read once.
     one_day = F.expr("interval 1 day")
-    zeros = span.where("a is not null").select(F.explode(F.sequence("a", "b", one_day)).alias("day"), F.lit(0).alias("n"))
-    daily = counted.unionByName(zeros).groupBy("day").agg(F.sum("n").alias("row_count"))
+    last = F.coalesce(F.lead("first").over(Window.orderBy("first")) - one_day, "first")
+    spread = counted.withColumn("last", last).withColumn("day", F.explode(F.sequence("first", "last", one_day)))
+    daily = spread.select("day", F.when(F.col("day") == F.col("first"), F.col("n")).otherwise(0).alias("row_count"))
     past = Window.orderBy("day").rowsBetween(-days, -1)
     scored = daily.select(
         "day",

@@ -207,6 +207,16 @@ def test_volume_anomaly_fills_empty_days(spark):
     assert [r.is_anomaly for r in got] == [False] * 7 + [True, False, True]
 
 
+def test_volume_anomaly_counts_chosen_rows_in_one_scan(spark, tmp_path):
+    rows = [(datetime(2024, 1, 1) + timedelta(days=d, minutes=i),) for d in (0, 2, 5) for i in range(d + 1)]
+    spark.createDataFrame(rows, "ts timestamp_ntz").write.parquet(str(tmp_path / "rows"))
+    got = anomaly.volume_anomaly(
+        spark.read.parquet(str(tmp_path / "rows")), "ts", where=F.col("ts") >= F.lit("2024-01-02").cast("timestamp_ntz"))
+    assert [(r.day.day, r.row_count) for r in got.orderBy("day").collect()] == [(3, 3), (4, 0), (5, 0), (6, 6)]
+    assert got._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
+    assert anomaly.volume_anomaly(spark.createDataFrame([], "ts timestamp_ntz"), "ts").count() == 0
+
+
 def host_samples(spark, *series):
     """One sample a minute for a quarter of an hour; a series is its name, labels, first value and growth per minute."""
     start, labels = datetime(2024, 1, 1), ["instance", "device", "mode", "fstype", "cpu", "mountpoint"]
