@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratus.functions import seconds_between
+from stratus.functions import epoch_micros, seconds_between
 from stratus.operators.slices import slice_number, step_end
 
 # Upper bounds of the duration histogram; a last bucket holds everything.
@@ -15,7 +15,15 @@ HISTOGRAM_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10, 30,
 
 
 def recency(ts: str, tiebreak: str | None = None) -> Column:
-    return F.struct(ts, tiebreak) if tiebreak else F.col(ts)
+    """One number that orders rows by time, then by ``tiebreak``, a whole number; missing ones come first.
+
+    Unlike a struct it has a fixed width, so an aggregate that keeps the newest row hashes instead of sorts.
+    """
+    if not tiebreak:
+        return F.col(ts)
+    micros = F.coalesce(epoch_micros(ts).cast("decimal(18,0)"), F.lit(1 - 10**18).cast("decimal(18,0)"))
+    place = F.coalesce(F.col(tiebreak).cast("bigint"), F.lit(-(2**63)))
+    return (micros * F.lit(str(2 * 10**19)).cast("decimal(20,0)") + place.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def latest_samples(samples: DataFrame, keys: list[str], value: str = "value", ts: str = "ts",

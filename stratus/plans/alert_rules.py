@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from stratus.functions import epoch_micros, label_matches, seconds_between
 from stratus.operators.alerts import COMPARISONS, THRESHOLD_RULES
 from stratus.operators.counters import counter_delta, value_changed
-from stratus.operators.series import absent_series
+from stratus.operators.series import absent_series, recency
 from stratus.operators.slices import over_windows, pairwise_steps, run_lengths, slice_number, step_end
 from stratus.session import materialise
 
@@ -138,7 +138,7 @@ def rule_facts(samples: DataFrame, step: float = 60) -> DataFrame:
     keys = ["name", *labels_of(samples)]
     newest = samples.where(F.col("name").isin(metrics("last"))).groupBy(*keys, slice_number("ts", step).alias("_step"))
     parts = [
-        newest.agg(F.max_by("value", F.struct("ts", "event_id")).alias("value")).select(
+        newest.agg(F.max_by("value", recency("ts", "event_id")).alias("value")).select(
             *keys, step_end(F.col("_step"), step).alias("at"), F.lit("last").alias("measure"), "value"
         )
     ]

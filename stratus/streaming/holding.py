@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from stratus.functions import seconds_between
+from stratus.operators.series import recency
 from stratus.streaming.jobs import event_time
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -29,7 +30,7 @@ def evaluated_ticks(
     if lateness is not None:
         rows = event_time(rows, ts, lateness)
     ticks = rows.groupBy(*keys, F.window(ts, f"{tick_seconds} seconds")).agg(
-        F.max_by("_truth", F.struct(ts, tiebreak)).alias("truth")
+        F.max_by("_truth", recency(ts, tiebreak)).alias("truth")
     )
     return ticks.select(*keys, F.col("window.start").alias("tick"), "truth")
 

@@ -207,6 +207,20 @@ def test_volume_anomaly_fills_empty_days(spark):
     assert [r.is_anomaly for r in got] == [False] * 7 + [True, False, True]
 
 
+def test_newest_samples_hash_and_order_by_time_then_id(spark):
+    far = datetime(9000, 1, 1)
+    rows = [
+        ("a", 2, NOW, 1.0), ("a", -3, NOW, 2.0), ("a", 9, NOW - timedelta(microseconds=1), 3.0), ("a", None, NOW, 4.0),
+        ("b", 2**63 - 1, NOW, 5.0), ("b", -(2**63), NOW + timedelta(microseconds=1), 6.0),
+        ("c", 1, None, 7.0), ("c", 5, datetime(1, 1, 1), 8.0), ("d", 4, None, 9.0), ("e", 2**63 - 1, far, 10.0), ("e", 1, far, 11.0),
+    ]
+    df = spark.createDataFrame(rows, "k string, event_id bigint, ts timestamp_ntz, value double")
+    newest = series.latest_samples(df, ["k"], tiebreak="event_id")
+    assert {r.k: r.value for r in newest.collect()} == {"a": 1.0, "b": 6.0, "c": 8.0, "d": 9.0, "e": 10.0}
+    for plan in (newest, series.series_reducers(df, ["k"]), series.pipeline_run_metrics(df, "k", F.col("value") > 2, "ts", "event_id")):
+        assert "SortAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_volume_anomaly_counts_chosen_rows_in_one_scan(spark, tmp_path):
     rows = [(datetime(2024, 1, 1) + timedelta(days=d, minutes=i),) for d in (0, 2, 5) for i in range(d + 1)]
     spark.createDataFrame(rows, "ts timestamp_ntz").write.parquet(str(tmp_path / "rows"))
