@@ -238,6 +238,22 @@ def test_resampling(spark, empty):
     assert importance.resample(empty, labels).count() == 0
 
 
+def test_few_toxic_words(spark):
+    """Three toxic words in a long clean text are not drowned, whether the text is labelled or not."""
+    rng = random.Random(8)
+    clean, toxic, rows = [f"w{i}" for i in range(400)], [f"insult{i}" for i in range(10)], []
+    for i in range(1200):
+        ws = rng.choices(clean, k=rng.randint(150, 600))
+        if i % 8 == 0:
+            for w in rng.choices(toxic, k=3):
+                ws.insert(rng.randrange(len(ws)), w)
+        rows.append((i, " ".join(ws)))
+    labels = spark.createDataFrame([(i, 1, int(i % 8 == 0)) for i in range(800)], "doc_id long, quality int, toxic int")
+    got = importance.resample(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()
+    kept = {bad: [r["kept"] for r in got if (r["doc_id"] % 8 == 0) == bad] for bad in (True, False)}
+    assert sum(kept[True]) <= 0.02 * len(kept[True]) and sum(kept[False]) >= 0.98 * len(kept[False])
+
+
 # 5: packing
 
 
