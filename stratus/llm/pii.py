@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from stratus.llm.columns import bind
 
 ROUNDS = 8
+#: How cards are written as a rule: in one, by fours with or without three more, or 4-6-5 and 4-6-4.
+CARD_LAYOUT = r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9A-Za-z])"
 DIGITS = "0123456789"
 HEX = "0123456789abcdef"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -28,9 +30,14 @@ PATTERNS = {
             r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9A-Za-z+(])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-             r"|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])",
+             rf"|(?<![0-9A-Za-z+])\+[0-9]{{1,3}}(?=(?:[ .-]?[0-9]){{7}})(?:[ .-](?!{CARD_LAYOUT})[0-9]{{1,4}}){{3,7}}(?![0-9])"
+             rf"|(?<![0-9A-Za-z+])\+[0-9]{{1,3}}(?:[ .-](?!{CARD_LAYOUT})[0-9]{{2,4}}){{2,4}}(?![0-9])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
+#: Kinds that may stand beside more digits or capitals, and how the run of groups that may hold one begins.
+IN_RUNS = {"iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2}", "card": r"[0-9](?:[ -]?[0-9]){12}"}
+#: Most groups of one value: a card written digit by digit.
+MAX_GROUPS = 19
 #: What any value of the kinds above contains.
 NEEDED = "[0-9@]|A[KS]IA"
 #: Years 1700 to 2099: one whole cycle of the calendar, 189 x 773 days.
@@ -219,11 +226,85 @@ def pseudonym(match: Column, key: str, kinds: tuple[str, ...] = tuple(KINDS)) ->
     return F.coalesce(*tries, F.lit(None).cast("string"))
 
 
+def candidates(kinds: tuple[str, ...]) -> str:
+    """The pattern of what may be or hold a value. Cards and IBANs are looked for in whole runs of groups, up to a value
+    of another kind; nothing of a run is given back, so its length costs neither stack nor repeated search."""
+    single = [f"(?:{PATTERNS[k]})" for k in kinds if k not in IN_RUNS]
+    heads = [IN_RUNS[k] for k in kinds if k in IN_RUNS]
+    group = "[A-Z0-9]++(?![a-z])"
+    other = f"(?!{'|'.join(single)})" if single else ""
+    run = [rf"(?:(?<![0-9A-Za-z])(?={'|'.join(heads)}){group}(?:[ -]{other}{group})*+)"] if heads else []
+    return "|".join(single + run)
+
+
+def replace_in_run(run: Column, key: str, kinds: tuple[str, ...]) -> Column:
+    """A run of groups with every valid stretch of whole groups replaced, from left to right, the longest first.
+
+    A card that is not the whole run has at least three digits in each group, else numbers of a table would too often
+    make one by chance. A stretch in an unusual layout gives way to one in a usual layout that begins within it.
+    """
+    usual = f"^(?:{CARD_LAYOUT}|[A-Z].*)$"
+
+    def best(groups: Column, i: Column) -> Column:
+        def stretch(k: Column) -> Column:
+            text = F.ltrim(F.concat_ws("", F.slice(groups, i + 1, k)), F.lit(" -"))
+            return F.struct(k.alias("k"), text.alias("text"))
+
+        def renamed(x: Column) -> Column:
+            return F.struct(x["k"].alias("k"), x["text"].rlike(usual).alias("usual"), pseudonym(x["text"], key, kinds).alias("new"))
+
+        longest = F.least(F.lit(MAX_GROUPS), F.size(groups) - i)
+        every = F.transform(F.sequence(longest, F.lit(1), F.lit(-1)), stretch)
+        fit = F.filter(every, lambda x: F.length(x["text"]).between(13, 45) & (
+            (x["k"] == F.size(groups)) | x["text"].rlike("^(?:[A-Z]{2}[0-9]{2}|[0-9]{3,}(?:[ -][0-9]{3,})*$)")
+        ))
+        return bind(
+            F.filter(F.transform(fit, renamed), lambda x: x["new"].isNotNull()),
+            lambda valid: F.coalesce(F.get(F.filter(valid, lambda x: x["usual"]), F.lit(0)), F.get(valid, F.lit(0))),
+        )
+
+    def joined(x: Column) -> Column:
+        groups, found = x["groups"], x["found"]
+
+        def step(acc: Column, i: Column) -> Column:
+            def put(here: Column) -> Column:
+                within = F.slice(found, i + 2, F.coalesce(here["k"] - 1, F.lit(0)))
+                taken = (i >= acc["next"]) & here["new"].isNotNull() & (
+                    here["usual"] | ~F.exists(within, lambda y: F.coalesce(y["usual"], F.lit(False)))
+                )
+                mark = F.regexp_extract(F.get(groups, i), "^[ -]?", 0)
+                written = F.when(taken, F.concat(mark, here["new"])).when(i < acc["next"], "").otherwise(F.get(groups, i))
+                return F.struct(
+                    F.when(taken, i + here["k"]).otherwise(acc["next"]).alias("next"), F.concat(acc["out"], written).alias("out")
+                )
+
+            return bind(F.get(found, i), put)
+
+        start = F.struct(F.lit(0).alias("next"), F.lit("").alias("out"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, step, lambda acc: acc["out"])
+
+    def searched(groups: Column) -> Column:
+        found = F.transform(F.sequence(F.lit(0), F.size(groups) - 1), lambda i: best(groups, i))
+        return bind(F.struct(groups.alias("groups"), found.alias("found")), joined)
+
+    return bind(F.split(run, "(?=[ -])"), searched)
+
+
 def pseudonymise(text: Column, key: str, kinds: tuple[str, ...] = tuple(KINDS)) -> Column:
     """The text with every valid value of ``kinds`` replaced; all else unchanged, null stays null."""
-    pattern = "|".join(f"(?:{PATTERNS[k]})" for k in kinds)
+    pattern = candidates(kinds)
+    single, in_runs = (tuple(k for k in kinds if (k in IN_RUNS) == of_runs) for of_runs in (False, True))
+
+    def replaced(m: Column) -> Column:
+        tries = [pseudonym(m, key, single)] if single else []
+        if in_runs:
+            # Only cards and IBANs are as long and written in digits and capitals alone.
+            run = m.rlike("^[A-Z0-9]++(?:[ -][A-Z0-9]++)*+$") & (F.length(m) >= 13)
+            tries.append(F.when(run, replace_in_run(m, key, in_runs)))
+        return F.coalesce(*tries, m)
+
     found, between = F.regexp_extract_all(text, F.lit(pattern), 0), F.split(text, pattern, -1)
-    new = F.transform(found, lambda m: F.coalesce(pseudonym(m, key, kinds), m))
+    new = F.transform(found, replaced)
     joined = F.concat_ws("", F.flatten(F.transform(
         F.arrays_zip(between.alias("t"), new.alias("n")), lambda x: F.array(x["t"], F.coalesce(x["n"], F.lit("")))
     )))
@@ -237,7 +318,8 @@ def pseudonymise_documents(
     """``docs`` with the values in ``text`` replaced; rows, other columns and their order are unchanged.
 
     Numbers must be valid to count (Luhn sum of cards, check digits of IBANs, octets, social security ranges, days of
-    the calendar from 1700 to 2099); a look-alike stays as it is. Pseudonyms are valid in the same way and keep
+    the calendar from 1700 to 2099); a look-alike stays as it is. Cards and IBANs are also found where more groups of
+    digits or capitals stand before or after them, which stay; see ``replace_in_run``. Pseudonyms are valid in the same way and keep
     separators, lengths and letter case. Null and empty texts stay; no rows in, no rows out.
     """
     return docs.withColumn(text, pseudonymise(F.col(text), key, kinds))

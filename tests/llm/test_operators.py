@@ -335,6 +335,32 @@ def test_pseudonyms(spark, empty):
     assert pii.pseudonymise_documents(empty, "k").columns == empty.columns
 
 
+CARD, IBAN = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+BESIDE = [  # text before, value, text after
+    ("", CARD, " 123"), ("", "4111111111111111", " 12/27"), ("7 ", CARD, ""), ("", IBAN, " BIC"), ("", "ES9121000418450200051332", " EUR"),
+    ("123456 ", CARD, " 98"), ("AB12 ", CARD, ""), ("AB12 ", IBAN, " BIC CAIXESBBXXX"), ("12-", "4111-1111-1111-1111", "-99"),
+    ("1 2 3 ", "3782 822463 10005", " 4TH"), ("", "+33 6 12 34 56 78", ""), ("call ", "+33 6 12 34 56 78", ", 7 x"),
+]
+
+
+def test_values_beside_digits(spark):
+    texts = [a + v + b for a, v, b in BESIDE] + [
+        f"{IBAN} {CARD}", f"{CARD} 1985-02-28", f"+33 6 12 34 56 78 {CARD}", "12 " * 5000 + CARD, " ".join(["12", "34"] * 30), "1234 5678 9012 3456",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = [r["text"] for r in pii.pseudonymise_documents(rows, "k").orderBy("doc_id").collect()]
+    alone = spark.createDataFrame([(v,) for _, v, _ in BESIDE], "text string").select("text", pii.pseudonymise(F.col("text"), "k"))
+    new = {**dict(alone.collect())}
+    assert all(v != w for v, w in new.items())
+    assert got[: len(BESIDE)] == [a + new[v] + b for a, v, b in BESIDE]
+    rest = got[len(BESIDE) :]
+    day = spark.range(1).select(pii.pseudonymise(F.lit("1985-02-28"), "k")).first()[0]
+    assert rest[:3] == [f"{new[IBAN]} {new[CARD]}", f"{new[CARD]} {day}", f"{new['+33 6 12 34 56 78']} {new[CARD]}"]
+    assert rest[3:] == ["12 " * 5000 + new[CARD], *texts[-2:]]
+    only = spark.range(1).select(pii.pseudonymise(F.lit(f"7 {CARD} a@b.org"), "k", ("card",))).first()[0]
+    assert only == f"7 {new[CARD]} a@b.org"
+
+
 def test_permutations(spark):
     four = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("v"))
     assert four.select(pii.permute_text(F.col("v"), pii.DIGITS, "k", "t").alias("p")).distinct().count() == 10_000
