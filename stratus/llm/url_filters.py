@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratus.llm.columns import bind
 from stratus.llm.components import connected_components
 from stratus.llm.tables import store
 
@@ -14,6 +15,50 @@ Rules = dict[str, str]
 #: Links in a page's head that name another address of it.
 CANONICAL = r"(?i)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH = r"(?i)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*[\"']?([^\"'\s>]+)"
+BASE = r"(?i)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+#: Signs of an address that pages write as entities; the ampersand is the last to be put back.
+ENTITIES = {
+    "/": r"&(?:sol|#0*47|#[xX]0*2[fF]);", ":": r"&(?:colon|#0*58|#[xX]0*3[aA]);", "?": r"&(?:quest|#0*63|#[xX]0*3[fF]);",
+    "=": r"&(?:equals|#0*61|#[xX]0*3[dD]);", "#": r"&(?:num|#0*35|#[xX]0*23);", "&": r"&(?:amp|AMP|#0*38|#[xX]0*26);",
+}
+#: Query parameters that say where a visitor came from, not which page is meant.
+TRACKING = r"(?i)^(?:utm_[^=]*|gclid|dclid|fbclid|msclkid|yclid|igshid|mc_cid|mc_eid)(?:=|$)"
+SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
+
+
+def without_dots(path: Column) -> Column:
+    """A path from ``/`` on without its ``.`` and ``..`` segments."""
+    def step(kept: Column, part: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1)))
+        return F.when(part == ".", kept).when(part == "..", up).otherwise(F.concat(kept, F.array(part)))
+
+    parts = F.split(F.concat(path, F.when(path.rlike(r"/\.\.?$"), "/").otherwise("")), "/")
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.array(F.lit("")), step, lambda kept: F.concat_ws("/", kept))
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), kept).otherwise(path)
+
+
+def resolve(target: Column, base: Column) -> Column:
+    """The address that ``target``, as a page at ``base`` writes it, stands for; null if it is none with a host."""
+    for sign, written in ENTITIES.items():
+        target = F.regexp_replace(target, written, sign)
+
+    def resolved(x: Column) -> Column:
+        to, base = x["target"], x["base"]
+        scheme = F.regexp_extract(base, SCHEME, 0)
+        site = F.regexp_extract(base, f"{SCHEME}//[^/?#]+", 0)
+        here = F.regexp_extract(F.substr(base, F.length(site) + 1), r"(?s)^[^?#]*", 0)
+        query = F.regexp_extract(F.substr(base, F.length(site) + 1), r"(?s)^[^#]*", 0)
+        folder = F.coalesce(F.nullif(F.regexp_extract(here, "(?s)^.*/", 0), F.lit("")), F.lit("/"))
+        path = F.regexp_extract(to, r"(?s)^[^?#]*", 0)
+        rest = F.substr(to, F.length(path) + 1)
+        full = F.when(to.rlike(SCHEME), to).when(to.startswith("//"), F.concat(scheme, to)).when(
+            site == "", F.lit(None).cast("string")
+        ).when((to == "") | to.startswith("#"), F.concat(site, query, to)).when(
+            to.startswith("?"), F.concat(site, here, to)
+        ).otherwise(F.concat(site, without_dots(F.when(to.startswith("/"), path).otherwise(F.concat(folder, path))), rest))
+        return F.when(full.rlike(f"{SCHEME}//[^/?#]"), full)
+
+    return bind(F.struct(target.alias("target"), base.alias("base")), resolved)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -39,23 +84,33 @@ def best_rule(host: Column, path: Column, rules: Rules) -> Column:
 
 
 def page_address(url: Column) -> Column:
-    """The address without what does not change the page: scheme, ``www.``, query, fragment and final slash.
+    """The address without what does not change the page: scheme, ``www.``, fragment, final slash and tracking parameters.
 
-    Null where there is no host. Servers redirect between these forms, so they count as aliases of this one.
+    Null where there is no host. Servers redirect between these forms, so they count as aliases of this one. All other
+    parameters stay as they are: they may name another page. ``://`` is escaped, so no address is taken for a url.
     """
     host, path = host_and_path(url)
     path = F.regexp_replace(path, "/+$", "")
-    return F.when(host != "", F.concat(F.regexp_replace(host, r"^www\.", ""), path))
+    parameters = F.split(F.regexp_extract(url, r"(?s)^(?>.*?://)[^?#]*\?([^#]*)", 1), "&")
+    query = F.concat_ws("&", F.filter(parameters, lambda x: (x != "") & ~x.rlike(TRACKING)))
+    whole = F.concat(F.regexp_replace(host, r"^www\.", ""), path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    return F.when(host != "", F.replace(whole, F.lit("://"), F.lit(":%2F%2F")))
 
 
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Edges ``a, b`` between urls, and between a url and its page address, as far as the pages state them."""
+    """Edges ``a, b`` between urls, and between a url and its page address, as far as the pages state them.
+
+    Stated targets are resolved against the page's url, or its ``base`` if it names one.
+    """
     rows = pages.select(F.col(url).alias("a"), F.col(html).alias("html")).filter("a IS NOT NULL")
     named = F.concat(F.regexp_extract_all("html", F.lit(CANONICAL), 1), F.regexp_extract_all("html", F.lit(REFRESH), 1))
-    stated = rows.select("a", F.explode(named).alias("b"))
+    base = F.nullif(F.regexp_extract("html", BASE, 1), F.lit(""))
+    targets = rows.select("a", base.alias("base"), F.explode(named).alias("target"))
+    base = F.coalesce(resolve(F.col("base"), F.col("a")), F.col("a"))
+    stated = targets.select("a", "target", base.alias("base")).select("a", resolve(F.col("target"), F.col("base")).alias("b"))
     return stated.unionByName(rows.select("a", page_address(F.col("a")).alias("b"))).unionByName(
         stated.select(F.col("b").alias("a"), page_address(F.col("b")).alias("b"))
-    ).filter("b IS NOT NULL")
+    ).filter("a IS NOT NULL AND b IS NOT NULL")
 
 
 def judge_urls(

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 from datetime import date
+from urllib.parse import urljoin
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +101,29 @@ def test_urls(spark):
     assert url_filters.judge_urls(pages.limit(0), rules).count() == 0
 
 
+def test_relative_targets(spark):
+    cases = [  # as urllib does, or null
+        ("/", "http://a.info/x/y?q"), ("/en/5", "http://a.info/x"), ("//example.net/en/1", "https://a.info/x"), ("z", "http://a.info/x/y"),
+        ("z", "http://a.info"), ("../z?k=1#f", "http://a.info/x/y/w"), ("./", "http://a.info/x/y"), ("..", "http://a.info/x/y/w"),
+        ("../../../z", "http://a.info/x/y"), ("?k=2", "http://a.info/x/y?k=1"), ("http://b.info/?u", "http://a.info/"), ("#f", "http://a.info/x?k"),
+    ]
+    rows = [*cases, ("mailto:a@b.org", "http://a.info/"), ("/z", "no.host/x"), (None, "http://a.info/"), ("/v?a=1&amp;b=2&#x26;c", "http://a.info/")]
+    got = [r[0] for r in spark.createDataFrame(rows, "t string, u string").coalesce(1).select(url_filters.resolve(F.col("t"), F.col("u"))).collect()]
+    assert got == [*[urljoin(u, t) for t, u in cases], None, None, None, "http://a.info/v?a=1&b=2&c"]
+
+    rules = {"bad.net/": "block", "ok.org/": "allow"}
+    link = '<link rel=canonical href="{}">'
+    pages = [
+        (1, "http://bad.net/x", link.format("/")), (2, "http://ok.org/x", link.format("/")), (3, "http://plain.info/x", link.format("/")),
+        (4, "http://plain.info/view?id=1", link.format("http://bad.net/1")), (5, "http://plain.info/view?id=2", link.format("//plain.info/2")),
+        (6, "http://plain.info/view?id=1&amp=1&utm_source=feed", ""), (7, "http://plain.info/view/?utm_medium=m&id=1", ""),
+        (8, "http://plain.info/old", link.format("view?utm_source=x&amp;id=1")), (9, "http://plain.info/go?to=http://bad.net/", ""),
+        (10, "http://plain.info/d/p", '<base href="//bad.net/d/">' + link.format("q")),
+    ]
+    judged = url_filters.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), rules).collect()
+    assert {r["page_id"] for r in judged if r["verdict"] == "block"} == {1, 4, 7, 8, 10}
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(100, 140)] + [(0, k) for k in range(200, 260)] + [(5, 5), (None, 3)]
