@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratus.session import materialise
+
 BUCKETS = 256
 
 
@@ -83,3 +85,25 @@ def global_ranks(df: DataFrame, key: str, ranks: tuple[Rank, ...]) -> DataFrame:
 
     wide = placed.groupBy("_key").agg(*[rank_of(r) for r in ranks])
     return df.join(wide, df[key].eqNullSafe(wide["_key"])).drop("_key")
+
+
+def row_positions(df: DataFrame, *order: Column, name: str = "position") -> DataFrame:
+    """Add the row's number from 1 in the order of the whole relation.
+
+    ``row_number() over (order by …)`` would put every row into one task. Here rows are dealt to partitions by ranges of
+    the order (borders from Spark's own sample of the rows), numbered within each sorted partition, and lifted by the
+    number of rows in the partitions before; only one number per partition is added up in one place. The numbered rows
+    are stored, so the counts and the rows read the same numbering. Rows that are equal in the whole order share a
+    partition and are numbered in any order; order by columns that tell rows apart if there may be many of them.
+    ``df`` is read twice, so pass a stored relation.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The id's upper bits are the partition, the lower 33 the place in it.
+    numbered = materialise(dealt.withColumn("_at", F.monotonically_increasing_id()), "positions")
+    split = numbered.withColumns({"_part": F.shiftright("_at", 33), "_place": F.col("_at").bitwiseAND((1 << 33) - 1)})
+    sizes = split.groupBy("_part").agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    # One row per partition of the stored relation.
+    lifted = split.join(F.broadcast(offsets), "_part")
+    return lifted.withColumn(name, F.col("_before") + F.col("_place") + 1).drop("_at", "_part", "_place", "_before")
