@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.llm import (
-    chunk_reuse, exact_dedup, importance, ngram_join, packing, pii, quality_rules, substring_dedup, token_counts, url_filters,
+    chunk_reuse, exact_dedup, fill_middle, importance, ngram_join, packing, pii, pivot_index, quality_rules, substring_dedup,
+    target_resampling, token_counts, url_filters,
 )
 from stratus.llm.tables import read_table, store
 from stratus.session import work_path
@@ -101,10 +102,29 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op11_embedding_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pivot_index.near_vectors(read_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.rearrange(read_table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = target_resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_quality_rules, op3_ngram_join, op4_quality_classifier, op5_packing, op6_substring_dedup,
-        op7_pii, op8_token_counts, op9_bpe_chunks, op10_exact_dedup,
+        op7_pii, op8_token_counts, op9_bpe_chunks, op10_exact_dedup, op11_embedding_pivots, op12_fill_middle,
+        op13_target_resampling,
     )
 }

@@ -143,6 +143,48 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM n
 """
 
+OP12 = """
+WITH keyed AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+drawn AS (
+  SELECT doc_id, t, length(t) AS n, ('0x' || k[1:8])::BIGINT AS h1, ('0x' || k[9:16])::BIGINT AS h2,
+    ('0x' || k[17:24])::BIGINT AS h3, ('0x' || k[25:32])::BIGINT AS h4
+  FROM keyed
+),
+cut AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+),
+parts AS (SELECT *, left(t, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cut)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+#: Every pair of one label is compared: short, for the small tables it is run on.
+OP11 = """
+WITH RECURSIVE given AS (
+  SELECT row_number() OVER () AS row, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+),
+fit AS (
+  SELECT row, vec_id, label, v, sqrt(list_inner_product(v, v)) AS size FROM given
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.row AS x, b.row AS y FROM fit a JOIN fit b ON a.label = b.label AND len(a.v) = len(b.v) AND a.row <> b.row
+  WHERE list_inner_product(a.v, b.v) / (a.size * b.size) >= 0.98
+),
+reached AS (SELECT row AS x, row AS y FROM given UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x),
+least AS (SELECT r.x, min(g.vec_id) AS component_id FROM reached r JOIN given g ON r.y = g.row GROUP BY r.x)
+SELECT g.vec_id, coalesce(l.n, 0)::BIGINT AS n_links, c.component_id, g.vec_id IS NOT DISTINCT FROM c.component_id AS kept
+FROM given g JOIN least c ON g.row = c.x LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) l ON g.row = l.x
+"""
+
 STATEMENTS = {
     "op1_url_filters": OP1,
     "op2_quality_rules": OP2,
@@ -150,4 +192,6 @@ STATEMENTS = {
     "op6_substring_dedup": OP6,
     "op8_token_counts": OP8,
     "op10_exact_dedup": OP10,
+    "op11_embedding_pivots": OP11,
+    "op12_fill_middle": OP12,
 }
