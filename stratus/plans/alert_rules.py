@@ -10,12 +10,14 @@ growth or changes over trailing windows. All rules read the facts.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.functions import epoch_micros, label_matches, seconds_between
+from stratus.operators.absence import absence_periods
 from stratus.operators.alerts import COMPARISONS, THRESHOLD_RULES
 from stratus.operators.counters import counter_delta, value_changed
 from stratus.operators.series import absent_series, recency
@@ -106,11 +108,13 @@ PAIR_RULES = (
 CPU_RULE = (
     Named("HostHighCPU", 300, "warning", "host"), Fact("node_cpu_seconds_total", "growth_5m", {"mode": "idle"}), 300, 85
 )
-# Series whose absence is itself an alert, as (rule, metric, instance).
+# Series whose absence is itself an alert, as (rule, metric, instance), and the seconds after which a
+# series without a sample counts as absent.
 ABSENCE_RULES = (
-    ("AirflowSchedulerDown", "airflow_scheduler_heartbeat", ""),
-    ("LokiDown", "up", "loki"),
+    (Named("AirflowSchedulerDown", 120, "critical", "scheduler"), "airflow_scheduler_heartbeat", ""),
+    (Named("LokiDown", 120, "warning", "monitoring"), "up", "loki"),
 )
+LOOKBACK = 300
 
 
 def labels_of(rows: DataFrame) -> list[str]:
@@ -211,7 +215,7 @@ def rule_truths(facts: DataFrame) -> DataFrame:
 
 
 def held_rule_alerts(samples: DataFrame, step: float = 60, slice_seconds: float = 86_400) -> DataFrame:
-    """Periods in which a rule was true long enough, for all rules in one pass.
+    """Periods in which a rule was true long enough, for all rules in one pass, absences included.
 
     The facts feed several branches and are stored once; they hold a few rows
     per series and step, whatever the number of samples.
@@ -220,22 +224,52 @@ def held_rule_alerts(samples: DataFrame, step: float = 60, slice_seconds: float
     keys = ["alertname", "severity", "component", "hold_seconds", *labels_of(samples)]
     runs = run_lengths(rule_truths(facts), keys, "at", F.col("truth"), "at", slice_seconds)
     held = seconds_between("started_at", "ended_at")
-    return runs.where(F.col("state") & (held >= F.col("hold_seconds"))).select(
+    present = runs.where(F.col("state") & (held >= F.col("hold_seconds"))).select(
         "alertname", "severity", "component", *labels_of(samples), "started_at", "ended_at", "samples"
     )
+    return present.unionByName(held_absences(samples, step).withColumnRenamed("evaluations", "samples"))
 
 
-def absence_alerts(samples: DataFrame, now: Column, lookback_seconds: float = 300) -> DataFrame:
-    """Rules that fire because a series has no sample in the lookback before ``now``."""
-    expected = samples.sparkSession.createDataFrame(
-        list(ABSENCE_RULES), "alertname string, name string, instance string"
+def _expected(samples: DataFrame) -> DataFrame:
+    rows = [(r.alert, r.severity, r.component, r.hold, name, instance) for r, name, instance in ABSENCE_RULES]
+    return samples.sparkSession.createDataFrame(
+        rows, "alertname string, severity string, component string, hold_seconds int, name string, instance string"
     )
+
+
+def _watched(samples: DataFrame) -> DataFrame:
+    """Samples of the series that absence rules name; where no instance is named, any one counts."""
+    any_instance = F.col("name").isin([name for _, name, instance in ABSENCE_RULES if not instance])
     one_instance = reduce(
         lambda a, b: a | b,
         [(F.col("name") == name) & (F.col("instance") == instance) for _, name, instance in ABSENCE_RULES if instance],
     )
-    any_instance = F.col("name").isin([name for _, name, instance in ABSENCE_RULES if not instance])
-    seen = samples.where(one_instance | any_instance).withColumn(
-        "instance", F.when(any_instance, F.lit("")).otherwise(F.col("instance"))
-    )
-    return absent_series(expected, seen, ["name", "instance"], now, lookback_seconds).drop("value")
+    seen = samples.where(one_instance | any_instance)
+    return seen.withColumn("instance", F.when(any_instance, F.lit("")).otherwise(F.col("instance")))
+
+
+def held_absences(samples: DataFrame, step: float = 60, lookback_seconds: float = LOOKBACK) -> DataFrame:
+    """Periods in which a series named by an absence rule had no sample, held for the rule's time.
+
+    Rules are evaluated at the ends of all steps from the first sample of any series to the last one; a series that
+    stops is thus seen as long as others go on. An absence has no labels but the instance its rule names.
+    """
+    first, last = samples.agg(F.min("ts"), F.max("ts")).first()
+    keys = ["name", "instance"]
+    columns = ["alertname", "severity", "component", *labels_of(samples), "started_at", "ended_at", "evaluations"]
+    rules = _expected(samples)
+    if first is None:  # without any sample there was no evaluation
+        first = last = datetime(1970, 1, 1)
+        rules = rules.limit(0)
+    since, until = (step_end(slice_number(F.lit(t).cast("timestamp_ntz"), step), step) for t in (first, last))
+    gone = absence_periods(_watched(samples), keys, since, until, lookback_seconds, step, expected=rules)
+    held = seconds_between("started_at", "ended_at")
+    named = gone.join(F.broadcast(rules), keys).where(held >= F.col("hold_seconds"))  # one row per rule
+    labels = {c: F.lit(None).cast(samples.schema[c].dataType) for c in labels_of(samples) if c != "instance"}
+    return named.withColumns({**labels, "instance": F.nullif("instance", F.lit(""))}).select(*columns)
+
+
+def absence_alerts(samples: DataFrame, now: Column, lookback_seconds: float = LOOKBACK) -> DataFrame:
+    """Rules whose series has no sample in the lookback before ``now``, whether held or not."""
+    expected = _expected(samples).select("alertname", "name", "instance")
+    return absent_series(expected, _watched(samples), ["name", "instance"], now, lookback_seconds).drop("value")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stratus.functions import containers as box
 from stratus.functions import label_matches, pg_round, relabel
 from stratus.functions.metric_names import METRIC_RULES, UNMAPPED, with_metric_name
-from stratus.operators import alerts, anomaly, counters, logs, runs, series, sustained
+from stratus.operators import absence, alerts, anomaly, counters, logs, runs, series, sustained
 from stratus.operators.alerts import THRESHOLD_RULES
 from stratus.plans import alert_rules
 from stratus.workload import views
@@ -161,6 +161,29 @@ def absent_series(spark, sf_dir):
     )
 
 
+@query("absence_periods", with_views("series", """
+WITH bought AS (SELECT "user" AS u, epoch_us(ts) AS us FROM series WHERE name = 'purchase'),
+gaps AS (
+  SELECT u, us AS a, lead(us) OVER (PARTITION BY u ORDER BY us) AS b FROM bought
+  UNION ALL SELECT e.u, NULL, min(us) FROM (SELECT DISTINCT "user" AS u FROM series) e LEFT JOIN bought USING (u) GROUP BY 1
+),
+ticks AS (
+  SELECT u, greatest(473352, coalesce((a + 172800000000 + 3599999999) // 3600000000, 473352)) AS f,
+    least(474072, coalesce((b + 3599999999) // 3600000000 - 1, 474072)) AS l FROM gaps
+)
+SELECT u AS "user", make_timestamp(f * 3600000000) AS started_at, make_timestamp(l * 3600000000) AS ended_at,
+  l - f + 1 AS evaluations, make_timestamp((f + 24) * 3600000000) AS fires_from
+FROM ticks WHERE f <= l AND l - f >= 24
+"""))
+def absence_periods(spark, sf_dir):
+    """Users without a purchase for two days, seen hourly in January and held for a day."""
+    samples = views.series(spark, sf_dir)
+    return absence.absence_periods(
+        samples.where(F.col("name") == "purchase"), ["user"], views.now("2024-01-01 00:00:00"), views.now("2024-01-31 00:00:00"),
+        2 * 86_400, 3_600, 86_400, expected=samples.select("user"),
+    )
+
+
 @query("sum_by_label", with_views("series", f"""
 SELECT instance, date_trunc('day', ts)::timestamp AS day, {rounded('sum(value)', 6)} AS total,
   {rounded('avg(value)', 6)} AS mean FROM series GROUP BY ALL
@@ -558,7 +581,27 @@ held AS (
     make_timestamp((max(step) + 1) * 60000000) AS ended_at, count(*) AS samples
   FROM islands WHERE truth GROUP BY alertname, hold, instance, device, mountpoint, island
   HAVING (max(step) - min(step)) * 60 >= hold
+),
+watched AS (
+  SELECT 'AirflowSchedulerDown' AS alertname, epoch_us(ts) AS us FROM samples WHERE name = 'airflow_scheduler_heartbeat'
+  UNION ALL SELECT 'LokiDown', epoch_us(ts) FROM samples WHERE name = 'up' AND instance = 'loki'
+),
+span AS (SELECT min(epoch_us(ts)) // 60000000 + 1 AS lo, max(epoch_us(ts)) // 60000000 + 1 AS hi FROM samples),
+gaps AS (
+  SELECT alertname, us AS a, lead(us) OVER (PARTITION BY alertname ORDER BY us) AS b FROM watched
+  UNION ALL SELECT e.alertname, NULL, min(us)
+  FROM (VALUES ('AirflowSchedulerDown'), ('LokiDown')) e(alertname) LEFT JOIN watched w ON e.alertname = w.alertname GROUP BY 1
+),
+absent AS (
+  SELECT alertname, greatest(lo, (a + 300000000 + 59999999) // 60000000) AS f, least(hi, (b + 59999999) // 60000000 - 1) AS l
+  FROM gaps, span
 )
+SELECT alertname, CASE alertname WHEN 'LokiDown' THEN 'warning' ELSE 'critical' END AS severity,
+  CASE alertname WHEN 'LokiDown' THEN 'monitoring' ELSE 'scheduler' END AS component,
+  CASE alertname WHEN 'LokiDown' THEN 'loki' END AS instance, NULL AS device, NULL AS mode, NULL AS fstype, NULL AS cpu,
+  NULL AS mountpoint, make_timestamp(f * 60000000) AS started_at, make_timestamp(l * 60000000) AS ended_at, l - f + 1 AS samples
+FROM absent WHERE f <= l AND (l - f) * 60 >= 120
+UNION ALL
 SELECT alertname, severity, component, instance, device, cast(NULL AS varchar) AS mode,
   CASE alertname WHEN 'HostDiskSpaceLow' THEN 'ext4' END AS fstype,
   cast(NULL AS varchar) AS cpu, mountpoint, started_at, ended_at, samples FROM held JOIN (VALUES
