@@ -45,8 +45,19 @@ def condition_parts(combined: DataFrame, *groups: Column | str) -> DataFrame:
     )
 
 
+def together(parts: DataFrame) -> DataFrame:
+    """Parts of several loads as one part per city, day and condition, of the same form."""
+    return parts.groupBy("city_name", "date_day", "weather_condition").agg(
+        F.sum("n").alias("n"),
+        F.min("lowest").alias("lowest"),
+        F.max("highest").alias("highest"),
+        *[F.sum(f"sum_{m}").alias(f"sum_{m}") for m in DIGITS],
+        *[F.sum(f"n_{m}").alias(f"n_{m}") for m in DIGITS],
+    )
+
+
 def merge_parts(parts: DataFrame) -> DataFrame:
-    """Daily summary from the parts; the most frequent condition is a plain ``min_by`` here.
+    """Daily summary from the parts, one per condition; the most frequent condition is a plain ``min_by`` here.
 
     Equal counts give the smallest condition; NULL never wins.
     """

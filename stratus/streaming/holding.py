@@ -35,6 +35,18 @@ def evaluated_ticks(
     return ticks.select(*keys, F.col("window.start").alias("tick"), "truth")
 
 
+def tick_parts(
+    samples: DataFrame, keys: list[str], condition: Column, tick_seconds: int, ts: str = "ts", tiebreak: str = "event_id"
+) -> DataFrame:
+    """``evaluated_ticks`` of a batch with ``newest``, by which ticks of several batches merge: ``parts.newest_by``."""
+    rows = samples.select(
+        *keys, F.window(ts, f"{tick_seconds} seconds").alias("_window"), F.coalesce(condition, F.lit(False)).alias("_truth"),
+        recency(ts, tiebreak).alias("_at"),
+    )
+    ticks = rows.groupBy(*keys, F.col("_window.start").alias("tick"))
+    return ticks.agg(F.max_by("_truth", "_at").alias("truth"), F.max("_at").alias("newest"))
+
+
 class HoldProcessor(StatefulProcessor):
     """Keeps, per series, since when the condition holds and whether that was reported."""
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.operators.contracts import Contract, check_contract, with_target
+from stratus.operators.slices import slice_number, step_end
 from stratus.plans.marts import condition_parts
 
 PART_KEYS = ["city_name", "date_day", "weather_condition"]
@@ -38,8 +41,8 @@ def sliding_totals(
 ) -> DataFrame:
     """Sum and count per series over sliding windows (update mode).
 
-    Every row takes part in ``window / step`` windows, so choose the step no
-    finer than needed; the copies are combined per task before the shuffle.
+    Every row takes part in ``window / step`` windows; the copies are combined
+    per task before the shuffle. ``panes`` need neither copies nor state.
     """
     windows = event_time(samples, ts, lateness).groupBy(*keys, F.window(ts, window, step))
     totals = windows.agg(F.sum(value).alias("total"), F.count(value).alias("samples"))
@@ -47,12 +50,61 @@ def sliding_totals(
     return totals.withColumns(bounds).drop("window")
 
 
+def panes(samples: DataFrame, keys: list[str], value: str, ts: str = "ts", step_seconds: int = 60) -> DataFrame:
+    """Sum and count per series and pane, a tumbling window of the step's width; ``merged_panes`` joins those of several batches.
+
+    Every row takes part in one pane, and each task sends one row per series and pane.
+    """
+    pane = slice_number(ts, step_seconds).alias("pane")
+    rows = samples.where(F.col(ts).isNotNull())
+    return rows.groupBy(*keys, pane).agg(F.sum(value).alias("total"), F.count(value).alias("samples"))
+
+
+def merged_panes(keys: list[str]) -> Callable[[DataFrame], DataFrame]:
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys, "pane").agg(F.sum("total").alias("total"), F.sum("samples").alias("samples"))
+
+    return merge
+
+
+def sliding_from_panes(rows: DataFrame, keys: list[str], window_seconds: int = 300, step_seconds: int = 60) -> DataFrame:
+    """All sliding windows that hold a pane, from the panes: keys, ``window_start``, ``window_end``, ``total``, ``samples``.
+
+    A window belongs to its first pane, and begins at most ``window / step - 1`` steps before it and after the pane
+    before that. So each pane gives the windows it is the first of, all from sums over frames of the same order: panes
+    are moved and sorted once and never copied. One row per series and step is ordered together.
+    """
+    count = window_seconds // step_seconds
+    if count * step_seconds != window_seconds or count < 1:
+        raise ValueError("the window must be a whole number of steps")
+    order = Window.partitionBy(*keys).orderBy("pane")
+
+    def window(back: int) -> Column:
+        """The window that begins ``back`` steps before its first pane."""
+        frame = order.rangeBetween(0, count - 1 - back)
+        start = F.col("pane") - back
+        own = F.coalesce(F.lag("pane").over(order) < start, F.lit(True))
+        return F.when(own, F.struct(
+            start.alias("start"), F.sum("total").over(frame).alias("total"), F.sum("samples").over(frame).alias("samples")
+        ))
+
+    summed = rows.select(*keys, F.array(*[window(k) for k in range(count)]).alias("_windows"))
+    windows = summed.select(*keys, F.inline(F.filter("_windows", lambda w: w.isNotNull())))
+    return windows.select(
+        *keys, step_end(F.col("start") - 1, step_seconds).alias("window_start"),
+        step_end(F.col("start") + count - 1, step_seconds).alias("window_end"), "total", "samples",
+    )
+
+
 def per_second(totals: DataFrame, window_seconds: float) -> DataFrame:
     return totals.withColumn("rate", F.col("total") / F.lit(float(window_seconds)))
 
 
 def drop_repeats(rows: DataFrame, row_id: str, ts: str, lateness: str | None = None) -> DataFrame:
-    """First arrival of every row id. With a lateness, ids are forgotten once the watermark has passed them."""
+    """First arrival of every row id. With a lateness, ids are forgotten once the watermark has passed them.
+
+    Without one every id stays in the state; ``running.append_new_to`` keeps none.
+    """
     timed = event_time(rows, ts, lateness)
     return timed.dropDuplicates([row_id]) if lateness is None else timed.dropDuplicatesWithinWatermark([row_id])
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratus.functions import pg_round
+from stratus.functions import day_start, pg_round
 from stratus.operators.contracts import CURRENT_CONTRACT
-from stratus.plans.marts import merge_parts
+from stratus.plans.marts import condition_parts, merge_parts, together
 from stratus.session import work_path
 from stratus.streaming import holding, jobs, running
+from stratus.streaming.parts import newest_by
 from stratus.workload import layers, quality, views
 from stratus.workload.registry import query
 from stratus.workload.views import rounded, with_views
@@ -30,8 +31,8 @@ WITH days AS (SELECT *, date_trunc('day', measured_at)::timestamp AS date_day FR
 SELECT * FROM daily
 """))
 def stream_daily_summary(spark, sf_dir):
-    parts = jobs.daily_parts(views.obs_columns(event_stream(spark, sf_dir)))
-    return merge_parts(running.finish_upsert(parts, "daily", jobs.PART_KEYS))
+    landed = views.obs_columns(event_stream(spark, sf_dir)).withColumn("date_day", day_start("measured_at"))
+    return merge_parts(running.finish_merge(landed, "daily", condition_parts, together))
 
 
 @query("stream_sliding_rate", with_views("series", f"""
@@ -41,9 +42,11 @@ FROM (SELECT *, (epoch_us(ts) // 60000000 - unnest(range(0, 5))) * 60000000 AS s
 GROUP BY name, start_us
 """))
 def stream_sliding_rate(spark, sf_dir):
-    totals = jobs.sliding_totals(views.series_columns(event_stream(spark, sf_dir)), ["name"], "value")
-    current = running.finish_upsert(totals, "sliding", ["name", "window_start", "window_end"])
-    return jobs.per_second(current, 300).select(
+    landed = views.series_columns(event_stream(spark, sf_dir))
+    panes = running.finish_merge(
+        landed, "panes", lambda rows: jobs.panes(rows, ["name"], "value"), jobs.merged_panes(["name"])
+    )
+    return jobs.per_second(jobs.sliding_from_panes(panes, ["name"]), 300).select(
         "name", "window_start", "window_end", pg_round("total", 6).alias("total"), "samples",
         pg_round("rate", 6).alias("rate"),
     )
@@ -55,8 +58,7 @@ def stream_dedup(spark, sf_dir):
     twice = event_stream(spark, sf_dir).select(
         F.col("event_id").cast("string").alias("row_id"), "ts", F.explode(F.array(F.lit(1), F.lit(2))).alias("arrival")
     )
-    kept = running.finish_append(jobs.drop_repeats(twice.drop("arrival"), "row_id", "ts"), "dedup")
-    return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return running.finish_new(twice.drop("arrival"), "dedup", "row_id", "ts")
 
 
 @query("stream_contract", with_views("payloads", f"""
@@ -95,7 +97,9 @@ GROUP BY r.name, r.since
 def stream_alert_hold(spark, sf_dir):
     """Alerts for values that stay high for an hour; a rule is evaluated every 30 minutes."""
     samples = views.series_columns(event_stream(spark, sf_dir))
-    ticks = holding.evaluated_ticks(samples, ["name"], F.col("value") > 20, tick_seconds=1_800)
-    current = running.finish_upsert(ticks, "hold", ["name", "tick"])
+    current = running.finish_merge(
+        samples, "hold", lambda rows: holding.tick_parts(rows, ["name"], F.col("value") > 20, tick_seconds=1_800),
+        newest_by(["name", "tick"], "newest"),
+    )
     fired = holding.held_ticks(current, ["name"], hold_seconds=3_600)
     return fired.select("name", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("held_since", "fired_at")])
