@@ -287,11 +287,14 @@ def frequent_head(docs: DataFrame, buckets: int = BUCKETS, text: str = "text") -
     totals = store(counted.groupBy("a", "b", "c", "d").agg(F.sum("n").alias("n")), "frequent-words")
 
     def best(rows: DataFrame, most: int) -> list[tuple[int, ...]]:
-        found = rows.filter("n > 1").orderBy(F.desc("n"), "a", "b", "c", "d").limit(most).collect()
-        return [tuple(x % (1 << 64) for x in r[:-1]) for r in found]
-
-    words = best(totals.filter("c = 0").select("a", "b", "n"), WORD_PLACES)
-    return Head.of(words, best(totals.filter("c <> 0"), PAIR_PLACES), buckets)
+        # By place in the order: a limit would have every partition send its own best to the driver.
+        placed = row_positions(rows, F.desc("n"), "a", "b", "c", "d", name="place").filter(F.col("place") <= most)
+        found = sorted(placed.select("place", "a", "b", "c", "d").collect())
+        return [tuple(x % (1 << 64) for x in r[1:]) for r in found]
+
+    frequent = totals.filter("n > 1")
+    words = [w[:2] for w in best(frequent.filter("c = 0"), WORD_PLACES)]
+    return Head.of(words, best(frequent.filter("c <> 0"), PAIR_PLACES), buckets)
 
 
 def bucket_totals(rows: DataFrame, head: Callable[[], Head], buckets: int = BUCKETS, text: str = "text") -> np.ndarray:
