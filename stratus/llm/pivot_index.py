@@ -99,8 +99,14 @@ def _by_size(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def fit_pivots(vectors: DataFrame, vector: str) -> Pivots:
-    """Pivots from the FIT_ROWS vectors with the smallest hashes, of their most common dimension."""
-    rows = vectors.select(vector).orderBy(F.xxhash64(vector), vector).limit(FIT_ROWS).toArrow()  # bounded by FIT_ROWS
+    """Pivots from the FIT_ROWS vectors with the smallest hashes, of their most common dimension.
+
+    Only vectors below a hash that leaves about twice as many are sorted, so that all partitions together send no more.
+    """
+    share = min(1.0, 2 * FIT_ROWS / max(1, vectors.count()))
+    place = F.xxhash64(vector)
+    few = vectors.select(vector).filter(place <= int(-(2**63) + share * (2**64 - 1025)))
+    rows = few.orderBy(place, vector).limit(FIT_ROWS).toArrow()  # bounded by FIT_ROWS
     found = max(_by_size(rows.column(0).combine_chunks()), key=lambda x: len(x[0]), default=None) if rows.num_rows else None
     return Pivots({}) if found is None else Pivots.fit(found[1])
 
