@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from stratus.session import materialise
 
-BUCKETS = 256
-
 
 @dataclass(frozen=True)
 class Rank:
@@ -29,35 +27,34 @@ def _running_total(partition: list[str], order: str, value: str) -> Column:
     return F.coalesce(F.sum(value).over(frame), F.lit(0).cast("bigint"))
 
 
-def value_positions(long: DataFrame) -> DataFrame:
+def value_positions(long: DataFrame, buckets: int | None = None) -> DataFrame:
     """How many rows lie below, at and above each distinct (measure, value).
 
     A global ``rank() over (order by value)`` puts every row into one task.
-    Here equal values are counted first (combined per task), the distinct
-    values are cut into equal-width buckets between the exact extremes, bucket
-    totals give each bucket its offset, and only distinct values of one bucket
-    are ordered together. The only whole-relation steps are over one row per
-    measure and at most ``BUCKETS`` + 2 rows per measure.
-    NULL counts as larger than every value.
+    Here equal values are counted first (combined per task), so each occurs
+    once, however often it does. The distinct values are cut into buckets at
+    quantiles of themselves, which Spark takes from a sample of them: an
+    outlier or a crowd of close values makes no bucket larger than another.
+    Bucket totals give each bucket its offset, and only distinct values of one
+    bucket are ordered together. What is done in one place is one row per
+    bucket and measure. ``buckets`` is the session's number of shuffle
+    partitions unless given. The cut is stored, so offsets and values follow
+    the same one. NULL counts as larger than every value.
     """
     counts = long.groupBy("measure", "value").agg(F.count("*").alias("n"))
-    extremes = long.groupBy("measure").agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("total")
-    )
-    position = F.floor(F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low")) * BUCKETS)
-    bucketed = counts.join(F.broadcast(extremes), "measure").withColumn(
-        "bucket",
-        F.when(F.col("value").isNull(), F.lit(BUCKETS + 1))
-        .otherwise(F.coalesce(position, F.lit(0)))
-        .cast("int"),
-    )
+    order = [F.col("measure").asc(), F.col("value").asc_nulls_last()]
+    dealt = counts.repartitionByRange(buckets, *order) if buckets else counts.repartitionByRange(*order)
+    bucketed = materialise(dealt.withColumn("bucket", F.spark_partition_id()), "value_buckets")
+    whole = Window.partitionBy("measure")
     offsets = (
         bucketed.groupBy("measure", "bucket")
         .agg(F.sum("n").alias("bucket_n"))
         .withColumn("offset", _running_total(["measure"], "bucket", "bucket_n"))
+        .withColumn("total", F.sum("bucket_n").over(whole))
         .drop("bucket_n")
     )
     below = F.col("offset") + _running_total(["measure", "bucket"], "value", "n")
+    # One row per bucket, and one more for each measure that begins within one.
     return (
         bucketed.join(F.broadcast(offsets), ["measure", "bucket"])
         .withColumn("below", below)

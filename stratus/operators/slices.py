@@ -1,9 +1,10 @@
 """Time slicing: order-dependent work on series that may hold most of the rows.
 
 A window partitioned by series alone would bring a hot series into one task.
-These helpers cut every series into fixed time slices, work within slices in
-parallel, and then connect neighbouring slices through their edges. Per series
-only the edges meet, and their number is bounded by the calendar.
+These helpers cut every series into slices, work within slices in parallel,
+and then connect neighbouring slices through their edges. Slices are of fixed
+time or of about equally many rows; per series only the edges meet, and their
+number is bounded by the calendar or by the number of slices.
 """
 
 from __future__ import annotations
@@ -25,13 +26,25 @@ def instant_of(micros: Column) -> Column:
     return F.timestamp_micros(micros).cast("timestamp_ntz")
 
 
+def row_slices(rows: DataFrame, order: list[str], slices: int | None = None) -> DataFrame:
+    """Adds ``_slice``: the whole relation in ``order``, cut into slices of about equally many rows.
+
+    Borders are quantiles of the order, from Spark's own sample of the rows, so a series with a third of all rows is cut
+    into a third of the slices. Slices of one series follow each other by number. Only rows that are equal in the whole
+    order cannot be cut apart. There are as many slices as shuffle partitions unless stated.
+    """
+    dealt = rows.repartitionByRange(slices, *order) if slices else rows.repartitionByRange(*order)
+    return dealt.withColumn("_slice", F.spark_partition_id())
+
+
 def run_lengths(
     df: DataFrame,
     keys: list[str],
     ts: str,
     state: Column,
     tiebreak: str,
-    slice_seconds: float = 86_400,
+    slice_seconds: float | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Maximal runs of consecutive rows with one state, per key.
 
@@ -39,11 +52,19 @@ def run_lengths(
     of the run) and ``samples``; rows without a time are left out. Exact over slice borders: runs inside a slice
     are final; the first and last run of each slice are joined with their
     neighbours by a second, small pass.
+
+    Slices hold about equally many rows (``row_slices``), so no group grows
+    with the volume of a series. Where a series is known to have few rows in
+    any stretch of time, as after it was reduced to one row per step,
+    ``slice_seconds`` cuts by time and saves a shuffle.
     """
     rows = df.where(F.col(ts).isNotNull()).select(
-        *keys, F.col(ts).alias("_ts"), F.col(tiebreak).alias("_tie"), state.alias("state"),
-        slice_number(ts, slice_seconds).alias("_slice"),
+        *keys, F.col(ts).alias("_ts"), F.col(tiebreak).alias("_tie"), state.alias("state")
     )
+    if slice_seconds is None:
+        rows = row_slices(rows, [*keys, "_ts", "_tie"], slices)
+    else:
+        rows = rows.withColumn("_slice", slice_number("_ts", slice_seconds))
     in_slice = Window.partitionBy(*keys, "_slice").orderBy("_ts", "_tie")
     previous = F.lag(F.struct("state")).over(in_slice)
     changed = previous.isNull() | ~previous["state"].eqNullSafe(F.col("state"))

@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from stratus.operators import ranking
 from stratus.operators.ranking import Rank, global_ranks
 from stratus.plans import adhoc, analytic, core, marts, medallion, staging
 from stratus.session import work_path
@@ -98,6 +99,35 @@ def test_global_ranks_equal_rank_over_everything(spark, values):
     assert [r.up for r in got] == ranked(values, False)
 
 
+def test_an_outlier_makes_no_bucket_large(spark):
+    """Values close together and one huge: each of 16 buckets holds at most twice its share of the distinct values."""
+    long = spark.range(20_000).selectExpr("'m' AS measure", "if(id = 7, 1e300, id % 8000 * 1e-9) AS value")
+    sizes = []
+    whole = ranking.materialise
+
+    def seen(df, name):
+        kept = whole(df, name)
+        sizes.extend(r["count"] for r in kept.groupBy("bucket").count().collect())
+        return kept
+
+    ranking.materialise = seen
+    try:
+        got = ranking.value_positions(long, 16)
+        last = got.where("value = 1e300").first()
+    finally:
+        ranking.materialise = whole
+    assert (last.below, last.above) == (19_999, 0) and got.count() == 8_001
+    assert len(sizes) == 16 and max(sizes) <= 2 * 8_001 / 16
+
+
+def test_positions_number_all_rows(spark):
+    rows = spark.range(5_000).selectExpr("id", "if(id % 4 = 0, null, id % 7) AS v").repartition(6)
+    got = ranking.row_positions(rows, F.col("v").desc_nulls_last(), F.asc("id")).collect()
+    wanted = sorted(((i, None if i % 4 == 0 else i % 7) for i in range(5_000)), key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert [r.id for r in sorted(got, key=lambda r: r.position)] == [r[0] for r in wanted]
+    assert ranking.row_positions(rows.limit(0), F.asc("id")).collect() == []
+
+
 def test_single_city_ranks_first_with_no_difference(spark):
     metrics = marts.city_weather_metrics(obs(spark, ("P", "a", 3.0, day(1))))
     row = analytic.city_comparison_ranking(metrics).first()

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratus.operators import counters, sustained
-from stratus.operators.slices import run_lengths
+from stratus.operators.slices import row_slices, run_lengths
 
 START = datetime(2024, 1, 1)
 SCHEMA = "name string, event_id bigint, ts timestamp_ntz, value bigint"
@@ -38,6 +38,31 @@ def test_runs_do_not_depend_on_the_slice_width(spark, data, width):
     assert sorted(got, key=repr) == sorted(expected, key=repr)
 
 
+@settings(max_examples=10, deadline=None)
+@given(samples, st.sampled_from([1, 3, 16]))
+def test_runs_do_not_depend_on_the_number_of_row_slices(spark, data, slices):
+    df, ordered = frame(spark, data)
+    expected = []
+    for (name, state), run in groupby(ordered, key=lambda r: (r[0], r[3])):
+        run = list(run)
+        expected.append((name, state, run[0][2], run[-1][2], len(run)))
+    got = run_lengths(df, ["name"], "ts", F.col("value"), "event_id", slices=slices)
+    got = [tuple(r) for r in got.select("name", "state", "started_at", "ended_at", "samples").collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+def test_row_slices_cut_a_hot_series_and_a_hot_day(spark):
+    """One series with most rows, nearly all of them within one second of a year."""
+    hot = spark.range(40_000).selectExpr(
+        "if(id % 10 < 9, 'hot', concat('s', id % 50)) AS name",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, if(id % 100 = 0, id * 700, id / 40000)) AS ts", "id AS event_id",
+    )
+    sizes = [r["count"] for r in row_slices(hot, ["name", "ts", "event_id"], 20).groupBy("name", "_slice").count().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) < 2 * 40_000 / 20
+    runs = run_lengths(hot, ["name"], "ts", F.lit(1), "event_id", slices=20).where("name = 'hot'").collect()
+    assert [r.samples for r in runs] == [36_000]
+
+
 def windows(ordered, share, window, step):
     """Direct evaluation: at every step end, pairs of neighbours inside the window."""
     out = set()
