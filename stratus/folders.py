@@ -13,9 +13,10 @@ def _open(spark: SparkSession, path: str):
 
 
 def list_folder(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder; none if it does not exist."""
+    """Names in a folder, without hidden ones; none if it does not exist."""
     files, at = _open(spark, path)
-    return sorted(s.getPath().getName() for s in files.listStatus(at)) if files.exists(at) else []
+    names = [s.getPath().getName() for s in files.listStatus(at)] if files.exists(at) else []
+    return sorted(n for n in names if not n.startswith("."))
 
 
 def read_text(spark: SparkSession, path: str) -> str:
