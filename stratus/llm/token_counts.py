@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratus.folders import delete_folder, list_folder, write_text
 from stratus.llm.tables import shuffles_freed
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -48,21 +49,28 @@ class TokenRollup:
 
     A batch replaces its own partition as one commit, so a batch that is sent again, whole or after a failure, counts
     once. Totals are plain sums, so batches may come in any order. ``compact`` folds batches into a snapshot that
-    remembers their ids; a folded batch that is sent again is ignored. Null keys are keys of their own. Keys whose totals
-    are all zero are left out. One writer at a time.
+    remembers their ids; a folded batch that is sent again is ignored, by whatever object opens the table. Null keys are
+    keys of their own. Keys whose totals are all zero are left out. One writer at a time.
+
+    Which snapshot counts is stored beside it: a small file per generation, moved into its place once the snapshot is
+    whole. Whatever stops before that leaves the generation before in force, with all its batches; what stops after it
+    leaves folders that nothing reads, which the next compaction removes.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
         self._empty = spark.createDataFrame([], SCHEMA)
-        self.generation = 0
+
+    @property
+    def generation(self) -> int:
+        """The newest generation on storage."""
+        return max(map(int, list_folder(self.spark, f"{self.path}/generations")), default=0)
 
     def _batches(self) -> DataFrame:
         return self._read(f"{self.path}/changes-{self.generation}")
 
     def _read(self, path: str) -> DataFrame:
-        files = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        there = files.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(files)
+        there = list_folder(self.spark, path)
         return self.spark.read.schema(SCHEMA).parquet(path).select(self._empty.columns) if there else self._empty
 
     def _snapshot(self) -> DataFrame:
@@ -98,5 +106,10 @@ class TokenRollup:
         nothing = [F.lit(None).cast(t).alias(c) for c, t in self.totals().dtypes]
         ids = self._batches().select("batch").union(self._snapshot().filter("n_docs IS NULL").select("batch")).distinct()
         rows = self.totals().withColumn("batch", F.lit(None).cast("string")).unionByName(ids.select(*nothing, "batch"))
-        rows.write.mode("overwrite").parquet(f"{self.path}/snapshot-{self.generation + 1}")
-        self.generation += 1
+        now = self.generation
+        rows.write.mode("overwrite").parquet(f"{self.path}/snapshot-{now + 1}")
+        write_text(self.spark, f"{self.path}/generations/{now + 1}", "")
+        for name in list_folder(self.spark, self.path):
+            kind, _, number = name.partition("-")
+            if kind in ("changes", "snapshot") and int(number) <= now:
+                delete_folder(self.spark, f"{self.path}/{name}")

@@ -1,6 +1,7 @@
 """Each operator against plain Python on small tables with nulls, repeats, ties, long texts and clashing columns."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -423,6 +424,70 @@ def test_rollup(spark, tmp_path):
     assert rollup.folded("four") and not rollup.folded("five")
 
 
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("stop", [None, "snapshot", "generation", "first delete", "second delete"])
+def test_rollup_opened_anew(spark, tmp_path, monkeypatch, stop):
+    """The table is opened by another object between all steps, and compaction stops at each of its points."""
+    keys = "source string, lang string, tokenizer string, tokens long"
+
+    def batch(tokens):
+        return token_counts.inserts(spark.createDataFrame([("a", "en", "1", tokens)], keys))
+
+    def opened():
+        return token_counts.TokenRollup(spark, str(tmp_path / "rollup"))
+
+    def totals():
+        return [tuple(r)[3:] for r in opened().totals().collect()]
+
+    def compact():
+        with monkeypatch.context() as m:
+            calls = []
+
+            def stopping(whole, *at):
+                def run(*args):
+                    calls.append(whole)
+                    if calls.count(whole) in at:
+                        raise Stop
+                    return whole(*args)
+
+                return run
+
+            if stop in ("snapshot", "generation"):
+                m.setattr(token_counts, "write_text", stopping(token_counts.write_text, 1))
+            elif stop:
+                m.setattr(token_counts, "delete_folder", stopping(token_counts.delete_folder, 1 if stop == "first delete" else 2))
+            if stop is None:
+                opened().compact()
+            else:
+                try:
+                    opened().compact()
+                except Stop:
+                    pass
+        if stop == "generation":  # sent again, as after a restart
+            opened().compact()
+
+    opened().commit("one", batch(5))
+    compact()
+    assert totals() == [(1, 5)]
+    opened().commit("two", batch(7))
+    assert totals() == [(2, 12)]
+    opened().commit("one", batch(5))
+    assert totals() == [(2, 12)]
+    compact()
+    for name, tokens in (("two", 7), ("one", 5), ("two", 7)):
+        opened().commit(name, batch(tokens))
+        assert totals() == [(2, 12)]
+    compact()
+    opened().commit("three", batch(1))
+    opened().compact()
+    assert totals() == [(3, 13)] and all(opened().folded(n) for n in ("one", "two", "three"))
+    left = {n for n in os.listdir(tmp_path / "rollup") if not n.startswith(".")}
+    assert left == {"generations", f"snapshot-{opened().generation}"}
+
+
 # 9: chunk reuse
 
 
