@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratus.functions import pg_round
-from stratus.operators import contracts, quality
+from stratus.operators import contracts, profiles, quality
 from stratus.operators.contracts import CURRENT_CONTRACT
 from stratus.operators.quality import SUITES, Check
 from stratus.session import materialise, work_path
 from stratus.sources.export import write_report
+from stratus.streaming.parts import PartTable
 from stratus.workload import layers, views
 from stratus.workload.registry import query
 from stratus.workload.views import EVENTS_NOW, rounded, with_views
@@ -286,3 +287,45 @@ def column_profile(spark, sf_dir):
     )
     # The estimate is left out here: it has no exact counterpart to compare with.
     return profile.drop("distinct_estimate").withColumn("mean", pg_round("mean", 6))
+
+
+PROFILED = {
+    "l_orderkey": "number", "l_quantity": "number", "l_extendedprice": "number", "l_returnflag": "text", "l_linestatus": "text",
+    "l_shipdate": "time",
+}
+
+
+@query("profile_by_load", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS row_count, count(*) - count({c}) AS null_count,
+  {f"cast(min({c}) AS double)" if kind == "number" else "cast(NULL AS double)"} AS "min",
+  {f"cast(max({c}) AS double)" if kind == "number" else "cast(NULL AS double)"} AS "max",
+  {f"cast(min({c}) AS varchar)" if kind != "number" else "cast(NULL AS varchar)"} AS min_text,
+  {f"cast(max({c}) AS varchar)" if kind != "number" else "cast(NULL AS varchar)"} AS max_text,
+  {rounded(f"avg({c})", 6) if kind == "number" else "cast(NULL AS double)"} AS mean,
+  true AS distinct_within, {"true" if kind == "number" else "cast(NULL AS boolean)"} AS median_within FROM lineitem"""
+    for c, kind in PROFILED.items()
+))
+def profile_by_load(spark, sf_dir):
+    """A profile kept per load, one for each ship year, and merged; its estimates are held against exact counts."""
+    rows = views.table(spark, sf_dir, "lineitem").select(*PROFILED)
+    year = F.year("l_shipdate")
+    years = [r[0] for r in rows.select(year).distinct().collect()]  # one row per load
+    schema = profiles.profile_parts(rows.limit(0), list(PROFILED)).schema
+    table = PartTable(spark, work_path(spark, "profiles"), schema, profiles.merge_profiles)
+    for load in years:
+        table.commit(f"year={load}", profiles.profile_parts(rows.where(year.eqNullSafe(F.lit(load))), list(PROFILED)))
+    report = profiles.profile_report(table.rows())
+
+    exact, held = [], []
+    for i, (c, kind) in enumerate(PROFILED.items()):
+        median = F.col(c).cast("double")
+        borders = F.percentile(median, F.array(*[F.lit(0.5 + e) for e in (-profiles.RANK_ERROR, profiles.RANK_ERROR)]))
+        exact += [F.count_distinct(F.col(c)).alias(f"d{i}")]
+        exact += [borders.alias(f"m{i}")] if kind == "number" else [F.lit(None).cast("array<double>").alias(f"m{i}")]
+        held.append(F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("_distinct"), F.col(f"m{i}").alias("_median")))
+    known = rows.agg(*exact).select(F.inline(F.array(*held)))
+    error = F.abs(F.col("distinct_estimate") - F.col("_distinct")) <= F.col("_distinct") * profiles.DISTINCT_ERROR
+    return report.join(known, "column").select(
+        "column", "row_count", "null_count", "min", "max", "min_text", "max_text", pg_round("mean", 6).alias("mean"),
+        error.alias("distinct_within"), F.col("p50").between(F.col("_median")[0], F.col("_median")[1]).alias("median_within"),
+    )

@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 
-from stratus.operators import quality
+from stratus.operators import profiles, quality
 from stratus.operators.quality import SUITES, Check, Suite
 
 SCHEMA = "city_name string, temperature_celsius double, humidity_percent double, wind_speed_ms double, measured_at timestamp_ntz"
@@ -124,6 +124,34 @@ def test_profile(spark):
     assert quality.sample_rows(df, 2).count() == 2
 
 
+def test_profiles_merge_like_one_scan(spark):
+    """Parts of loads, merged in any grouping, give what one profile of all rows gives; estimates are within their errors."""
+    rows = spark.range(30_000).selectExpr(
+        "id AS n", "if(id % 3 = 0, null, id % 700) AS v", "if(id % 1000 = 1, double('NaN'), double(id)) AS d", "concat('t', id % 50) AS s",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, id) AS ts", "cast(null AS string) AS nothing", "id % 2 = 0 AS b",
+        "cast(id AS decimal(12, 2)) AS money", "date_add(date'2024-01-01', cast(id % 90 AS int)) AS day", "cast(null AS int) AS void",
+    )
+    columns = rows.columns
+    loads = [profiles.profile_parts(rows.where(f"id % 4 = {k}".replace("id", "n")), columns) for k in range(4)]
+    empty = profiles.profile_parts(rows.limit(0), columns)
+    pair = profiles.merge_profiles(loads[0].unionByName(loads[1]))
+    merged = profiles.merge_profiles(pair.unionByName(loads[2]).unionByName(loads[3]).unionByName(empty))
+    got = {r["column"]: r for r in profiles.profile_report(merged).collect()}
+    whole = {r["column"]: r for r in profiles.profile_report(profiles.profile_parts(rows, columns)).collect()}
+    same = [c for c in got["n"].asDict() if c not in ("mean", "distinct_estimate", "p25", "p50", "p75")]
+    assert all([got[c][k] for k in same] == [whole[c][k] for k in same] or c == "d" for c in columns)
+    assert (got["n"].row_count, got["v"].null_count, got["n"]["min"], got["n"]["max"]) == (30_000, 10_000, 0.0, 29_999.0)
+    assert (got["s"].min_text, got["s"].max_text, got["s"]["min"]) == ("t0", "t9", None)
+    assert (got["ts"].min_text, got["day"].max_text, got["b"].min_text) == ("2024-01-01 00:00:00", "2024-03-30", "false")
+    assert got["n"].mean == pytest.approx(14_999.5) and got["money"]["max"] == 29_999.0
+    assert got["d"].mean == pytest.approx(sum(i for i in range(30_000) if i % 1000 != 1) / 29_970) and got["d"]["max"] != got["d"]["max"]
+    for c, exact in (("n", 30_000), ("v", 700 - 0), ("s", 50), ("ts", 30_000), ("day", 90), ("b", 2), ("money", 30_000)):
+        assert abs(got[c].distinct_estimate - exact) <= exact * profiles.DISTINCT_ERROR
+    for share in (25, 50, 75):
+        assert abs(got["n"][f"p{share}"] / 30_000 - share / 100) <= profiles.RANK_ERROR
+    assert (got["nothing"].min_text, got["void"].p50, got["void"].distinct_estimate, got["void"].mean) == (None, None, 0, None)
+
+
 def test_custom_suite(spark):
     suite = Suite("mine", "staging", "stg_weather_current", (RANGE,))
     results = quality.run_suites(tables(spark, INVALID), suites=(suite,))
