@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.functions import as_instant, seconds_between
@@ -154,32 +154,53 @@ def _unavailable(spark: SparkSession, placed: list[Placed], target: str) -> Data
     return spark.createDataFrame(rows, f"suite string, layer string, {RESULT}" if owned else RESULT)
 
 
-def _check_rows(df: DataFrame, target: str, placed: list[Placed], now: Any) -> DataFrame:
-    instant = as_instant(now)
-    present = set(df.columns)
-    known = [p for p in placed if p.check.column is None or p.check.column in present]
-    unavailable = [p for p in placed if p not in known]
-    folded = list(dict.fromkeys(p.check for p in known if p.check.kind in AGGREGATED))
-    parts: list[DataFrame] = []
-    if folded:
-        aggregates, rows = [], []
-        for i, check in enumerate(folded):
+@dataclass(frozen=True)
+class _Plan:
+    """How the checks of one table are computed: folded into one aggregate, by a grouping of their own, or not at all."""
+
+    folded: list[Check]
+    placed: list[Placed]
+    repeated: list[Placed]
+    unavailable: list[Placed]
+
+    @classmethod
+    def of(cls, df: DataFrame, placed: list[Placed]) -> _Plan:
+        present = set(df.columns)
+        known = [p for p in placed if p.check.column is None or p.check.column in present]
+        folding = [p for p in known if p.check.kind in AGGREGATED]
+        return cls(
+            list(dict.fromkeys(p.check for p in folding)), folding, [p for p in known if p.check.kind == "unique"],
+            [p for p in placed if p not in known],
+        )
+
+    def aggregates(self, now: Any) -> list[Column]:
+        instant, columns = as_instant(now), []
+        for i, check in enumerate(self.folded):
             outcome = AGGREGATED[check.kind](check, instant)
-            aggregates += [outcome.observed.alias(f"o{i}"), outcome.failures.alias(f"f{i}")]
-        for p in known:
-            if p.check in folded:
-                i = folded.index(p.check)
-                rows.append(_row(p, target, F.col(f"o{i}"), F.col(f"f{i}")))
-        parts.append(df.agg(*aggregates).select(F.inline(F.array(*rows))))
-    for column in dict.fromkeys(p.check.column for p in known if p.check.kind == "unique"):
+            columns += [outcome.observed.cast("double").alias(f"o{i}"), outcome.failures.cast("bigint").alias(f"f{i}")]
+        return columns
+
+    def folded_rows(self, aggregated: DataFrame, target: str) -> list[DataFrame]:
+        """Check rows from one row of aggregates."""
         rows = [
-            _row(p, target, F.col("n"), F.col("n"))
-            for p in known if p.check.kind == "unique" and p.check.column == column
+            _row(p, target, F.col(f"o{i}"), F.col(f"f{i}")) for p in self.placed for i in (self.folded.index(p.check),)
         ]
-        parts.append(_repeated_values(df, column).select(F.inline(F.array(*rows))))
-    if unavailable:
-        parts.append(_unavailable(df.sparkSession, unavailable, target))
-    return reduce(DataFrame.unionByName, parts)
+        return [aggregated.select(F.inline(F.array(*rows)))] if rows else []
+
+    def other_rows(self, df: DataFrame, target: str) -> list[DataFrame]:
+        parts = []
+        for column in dict.fromkeys(p.check.column for p in self.repeated):
+            rows = [_row(p, target, F.col("n"), F.col("n")) for p in self.repeated if p.check.column == column]
+            parts.append(_repeated_values(df, column).select(F.inline(F.array(*rows))))
+        if self.unavailable:
+            parts.append(_unavailable(df.sparkSession, self.unavailable, target))
+        return parts
+
+
+def _check_rows(df: DataFrame, target: str, placed: list[Placed], now: Any) -> DataFrame:
+    plan = _Plan.of(df, placed)
+    folded = plan.folded_rows(df.agg(*plan.aggregates(now)), target) if plan.folded else []
+    return reduce(DataFrame.unionByName, folded + plan.other_rows(df, target))
 
 
 def run_checks(df: DataFrame, target: str, checks: list[Check] | tuple[Check, ...], now: Any = None) -> DataFrame:
@@ -292,6 +313,32 @@ def run_suites(
     return reduce(DataFrame.unionByName, parts)
 
 
+class WhileStoring:
+    """The suites of one table, gathered from its rows while they are written.
+
+    ``frame`` is the table with the aggregates of its checks observed on the way; write it once, then read the check
+    rows. Only uniqueness, which needs a grouping, reads the stored table again, and of it the one column.
+    """
+
+    def __init__(self, df: DataFrame, table: str, suites: tuple[Suite, ...] = SUITES, now: Any = None):
+        self.table = table
+        self.plan = _Plan.of(df, [Placed(c, s.name, s.layer) for s in suites if s.table == table for c in s.checks])
+        self.observation = Observation()
+        self.frame = df.observe(self.observation, *self.plan.aggregates(now)) if self.plan.folded else df
+
+    def results(self, stored: DataFrame) -> DataFrame | None:
+        """Check rows as ``run_suites`` gives them; None if no suite has the table."""
+        parts = self.plan.other_rows(stored, self.table)
+        if self.plan.folded:
+            seen = self.observation.get
+            names = [f"{kind}{i}" for i in range(len(self.plan.folded)) for kind in "of"]
+            values = [None if seen[n] is None else (float if n[0] == "o" else int)(seen[n]) for n in names]
+            schema = ", ".join(f"{n} {'double' if n[0] == 'o' else 'bigint'}" for n in names)
+            # One row of as many numbers as there are checks.
+            parts = self.plan.folded_rows(stored.sparkSession.createDataFrame([values], schema), self.table) + parts
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def suite_verdicts(results: DataFrame) -> DataFrame:
     """Per suite: do all its checks pass, and how many do not."""
     return results.groupBy("suite", "layer").agg(

@@ -8,7 +8,8 @@ from stratus.functions import pg_round
 from stratus.operators import contracts, profiles, quality
 from stratus.operators.contracts import CURRENT_CONTRACT
 from stratus.operators.quality import SUITES, Check
-from stratus.session import materialise, work_path
+from stratus.plans import medallion
+from stratus.session import work_path
 from stratus.sources.export import write_report
 from stratus.streaming.parts import PartTable
 from stratus.workload import layers, views
@@ -214,14 +215,11 @@ FROM checks GROUP BY suite, layer
 
 
 def suite_results(spark, sf_dir):
-    tables = {
-        "stg_weather_current": views.obs(spark, sf_dir),
-        "stg_weather_forecast": views.fc(spark, sf_dir),
-        "weather_daily_summary": layers.daily(spark, sf_dir),
-        # Two branches read this mart: the folded checks and the uniqueness count.
-        "city_weather_metrics": materialise(layers.city_metrics(spark, sf_dir), "city_weather_metrics"),
-    }
-    return quality.run_suites(tables, now=EVENTS_NOW)
+    """The marts that suites look at are built and stored, and checked while they are written."""
+    models = tuple(m for m in medallion.MODELS if m.name in {s.table for s in SUITES})
+    return medallion.build_checked_layers(
+        spark, views.obs(spark, sf_dir), views.fc(spark, sf_dir), work_path(spark, "checked-layers"), models, now=EVENTS_NOW
+    )[1]
 
 
 @query("quality_suite", with_views("obs", "fc", _suite_sql()))

@@ -107,6 +107,41 @@ def test_suites_fail_per_suite_and_layer(spark):
         quality.run_suites(broken, "gold")
 
 
+def executions(spark, work):
+    """The executed plans of all queries that ``work`` runs."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    out = work()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    found = store.executionsList()
+    return out, [found.apply(i).physicalPlanDescription() for i in range(before, found.size())]
+
+
+def test_suites_are_gathered_while_a_table_is_written(spark, tmp_path):
+    """Results equal those of a scan, and nothing but the unique column is read again."""
+    suites = (
+        Suite("mine", "staging", "t", (
+            Check("row_count", limit=1), Check("not_null", "city_name"), RANGE, Check("between", "humidity_percent", 0, 100),
+            Check("not_null_rate", "city_name", limit=0.1), Check("freshness_hours", "measured_at", limit=24),
+            Check("unique", "city_name"), Check("not_null", "gone"),
+        )),
+        Suite("again", "staging", "t", (Check("row_count", limit=1), Check("unique", "city_name"))),
+        Suite("other", "staging", "u", (Check("row_count", limit=1),)),
+    )
+    rows = spark.createDataFrame(INVALID + INVALID, SCHEMA)
+    for name, frame in (("rows", rows), ("none", rows.limit(0))):
+        checked = quality.WhileStoring(frame, "t", suites, AT)
+        path = str(tmp_path / name)
+        checked.frame.write.parquet(path)
+        stored = spark.read.parquet(path)
+        got, plans = executions(spark, lambda c=checked, s=stored: c.results(s).collect())
+        wanted = quality.run_suites({"t": stored}, suites=suites[:2], now=AT)
+        assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, wanted.select(*got[0].asDict()).collect()), key=repr)
+        read = [line for plan in plans for line in plan.splitlines() if line.startswith("ReadSchema")]
+        assert set(read) == {"ReadSchema: struct<city_name:string>"}
+    assert quality.WhileStoring(rows, "unknown", suites).results(rows) is None
+
+
 def test_schema_changes(spark):
     before = spark.createDataFrame([("a", "int"), ("b", "string"), ("c", "int")], "column string, type string")
     after = spark.createDataFrame([("a", "int"), ("b", "bigint"), ("d", "int")], "column string, type string")
