@@ -79,22 +79,25 @@ def stamp_provenance(
     })
 
 
-def promote_fields(df: DataFrame, raw: str = "raw_json", source: str = "source") -> DataFrame:
-    """Put the commonly asked fields next to the whole payload, per payload kind."""
-    doc = F.try_parse_json(raw)
+def promoted_columns(document: str, source: str) -> dict[str, Column]:
+    """The commonly asked fields of a parsed payload, per payload kind."""
     is_current = F.col(source) == "weather_current"
     is_forecast = F.col(source) == "weather_forecast"
     current = {
-        "temperature": nested_or_default("_doc", "$.main.temp", "double"),
-        "humidity": nested_or_default("_doc", "$.main.humidity", "double"),
-        "wind_speed": nested_or_default("_doc", "$.wind.speed", "double"),
-        "weather_main": nested_or_default("_doc", "$.weather[0].main", "string", ""),
-        "dt": nested_or_default("_doc", "$.dt", "bigint"),
+        "temperature": nested_or_default(document, "$.main.temp", "double"),
+        "humidity": nested_or_default(document, "$.main.humidity", "double"),
+        "wind_speed": nested_or_default(document, "$.wind.speed", "double"),
+        "weather_main": nested_or_default(document, "$.weather[0].main", "string", ""),
+        "dt": nested_or_default(document, "$.dt", "bigint"),
     }
     forecast = {
-        "forecast_count": nested_or_default("_doc", "$.cnt", "bigint"),
-        "city_name": nested_or_default("_doc", "$.city.name", "string"),
+        "forecast_count": nested_or_default(document, "$.cnt", "bigint"),
+        "city_name": nested_or_default(document, "$.city.name", "string"),
     }
     promoted = {name: F.when(is_current, value) for name, value in current.items()}
-    promoted |= {name: F.when(is_forecast, value) for name, value in forecast.items()}
-    return df.withColumn("_doc", doc).withColumns(promoted).drop("_doc")
+    return promoted | {name: F.when(is_forecast, value) for name, value in forecast.items()}
+
+
+def promote_fields(df: DataFrame, raw: str = "raw_json", source: str = "source") -> DataFrame:
+    """Put the commonly asked fields next to the whole payload, per payload kind."""
+    return df.withColumn("_doc", F.try_parse_json(raw)).withColumns(promoted_columns("_doc", source)).drop("_doc")

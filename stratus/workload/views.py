@@ -413,6 +413,55 @@ SELECT 'city_' || cast(user_id % 20 AS varchar) AS city,
 """
 
 
+def _whole_payload() -> str:
+    """Whole payloads of both kinds as JSON text: even users current ones, odd users forecasts of two slots.
+
+    By the last digit of the id, base five: 1 has empty lists, 2 no country and no clouds (or no place), 3 is cut off, 4
+    has no measures (or another count).
+    """
+    epoch = "unix_timestamp(cast(ts AS timestamp))"
+    f = "event_id % 5"
+    value = "cast(cast(value AS decimal(12,2)) AS string)"
+
+    def text(expression: str) -> str:
+        return f"cast({expression} AS string)"
+
+    def measures(more: str) -> str:
+        return (f"concat('\"main\":{{\"temp\":', {value}, ',\"feels_like\":', {text('user_id % 17')}, "
+                f"',\"humidity\":', {text('user_id % 100')}, ',\"pressure\":', {text(f'1000 + user_id % 30 + {more}')}, '}},')")
+
+    weather = "concat('\"weather\":[{\"id\":1,\"main\":\"', event_type, '\",\"description\":\"it is ', event_type, '\"}]')"
+    weather = f"CASE {f} WHEN 1 THEN '\"weather\":[]' ELSE {weather} END"
+    clouds = f"CASE {f} WHEN 2 THEN '' ELSE concat(',\"clouds\":{{\"all\":', {text('user_id % 50')}, '}}') END"
+    wind = f"concat(',\"wind\":{{\"speed\":', {text('user_id % 30')}, '}}')"
+    country = f"CASE {f} WHEN 2 THEN '' ELSE concat(',\"country\":\"K', {text('user_id % 7')}, '\"') END"
+    place = f"concat('{{\"lon\":', {text('user_id % 90')}, ',\"lat\":1.5}}')"
+    current = (
+        f"concat('{{\"name\":\"', event_type, '\",\"sys\":{{\"id\":7', {country}, '}},\"coord\":', {place}, ',', "
+        f"CASE {f} WHEN 4 THEN '' ELSE {measures('0')} END, {weather}, {clouds}, {wind}, "
+        f"',\"visibility\":', {text('user_id * 10')}, ',\"dt\":', {text(epoch)}, CASE {f} WHEN 3 THEN ',' ELSE '}}' END)"
+    )
+
+    def slot(k: int) -> str:
+        return (f"concat('{{', {measures(str(k))}, {weather}, {clouds}, {wind}, ',\"pop\":0.{k + 1},\"dt\":', "
+                f"{text(f'{epoch} + {10_800 * (k + 1)}')}, '}}')")
+
+    forecast = (
+        f"concat('{{\"city\":{{\"name\":\"', event_type, '\"', {country}, "
+        f"CASE {f} WHEN 2 THEN '' ELSE concat(',\"coord\":', {place}) END, '}},\"cnt\":', CASE {f} WHEN 4 THEN '\"two\"' ELSE '2' END, "
+        f"',\"list\":[', CASE {f} WHEN 1 THEN '' ELSE concat({slot(0)}, ',', {slot(1)}) END, CASE {f} WHEN 3 THEN '}}' ELSE ']}}' END)"
+    )
+    return f"CASE WHEN user_id % 2 = 0 THEN {current} ELSE {forecast} END"
+
+
+def whole_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole payloads of both kinds, with the ids a load gives them."""
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("user_id") % 2 == 0, "weather_current").otherwise("weather_forecast").alias("source"),
+        F.expr(_whole_payload()).alias("raw_json"), F.lit("load-1").alias("load_id"), F.col("event_id").cast("string").alias("row_id"),
+    )
+
+
 def containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Container samples with all the special cases the measures treat."""
     kind = F.col("event_type")
