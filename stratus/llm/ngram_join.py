@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.llm.components import connected_components
@@ -334,6 +334,25 @@ class NgramJoin:
         return rows.join(least, "part", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
+    def leaving(self) -> DataFrame:
+        """``doc_id, body`` of the rows that give way to another row of their component: all but one id and text."""
+        part = store(connected_components(self.links()), "ngram-components").toDF("id", "part")
+        rows = self.sets.filter("n_shingles > 0").select("doc_id", "body", "id").join(part, "id", "left")
+        rows = store(rows.select("doc_id", "body", F.coalesce("part", "id").alias("part")), "ngram-rows")
+        # The smallest id, null behind all others; of one id the smallest hash of a text.
+        first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "body")
+        stays = store(rows.groupBy("part").agg(F.min(first).alias("stays")), "ngram-least")
+        gone = rows.join(stays, "part").filter(
+            ~(F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("body") == F.col("stays.body")))
+        )
+        return gone.select("doc_id", "body").distinct()
+
+    def repeated(self) -> DataFrame:
+        """``doc_id, body`` that several rows with words have in common."""
+        rows = self.sets.filter("n_shingles > 0").groupBy("doc_id", "body").agg(F.count("*").alias("n"))
+        return rows.filter("n > 1").select("doc_id", "body")
+
+
 def hash_bits(values: DataFrame) -> np.ndarray:
     """A bit for the low bits of every value of a column of hashes; as many rows as it has words reach the driver at
     most."""
@@ -432,8 +451,38 @@ def near_duplicates(
     component, and a null id gives way to any other. N-grams are compared by 64-bit hashes. If two different sets get
     one 64-bit id, all is done again with other hashes; after ``salts`` times it is an error, not a wrong result.
     """
+    return _joined(docs, n, percent, doc_id, text, salts).components()
+
+
+def _joined(docs: DataFrame, n: int, percent: int, doc_id: str, text: str, salts: int) -> NgramJoin:
     for salt in range(salts):
         join = NgramJoin(docs, n, percent, doc_id, text, salt)
         if not join.collided():
-            return join.components()
+            return join
     raise RuntimeError("too many different texts for 64-bit ids")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", salts: int = 4
+) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns unchanged: of each component of ``near_duplicates`` one row.
+
+    It is the row with the smallest id; a null id gives way to any other. Rows are told apart by id and text, so rows
+    without an id, and different texts under one id, are judged each on its own; of rows that repeat both one stays.
+    Null and wordless texts stay, all of them. No rows in, no rows out.
+    """
+    join = _joined(docs, n, percent, doc_id, text, salts)
+    gone, repeated = join.leaving(), store(join.repeated(), "ngram-repeated")
+    # The whole row travels as one struct, so its column names cannot clash with the ones used here.
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("hash"))
+
+    def found_in(keys: DataFrame) -> Column:
+        return rows["id"].eqNullSafe(keys["doc_id"]) & (rows["hash"] == keys["body"])
+
+    kept = rows.join(gone, found_in(gone), "left_anti")
+    if not repeated.isEmpty():
+        # Only rows that repeat id and text are brought together.
+        again = Window.partitionBy("id", "hash").orderBy(F.lit(0))
+        many = kept.join(repeated, found_in(repeated), "left_semi").withColumn("nth", F.row_number().over(again))
+        kept = kept.join(repeated, found_in(repeated), "left_anti").unionByName(many.filter("nth = 1").drop("nth"))
+    return kept.select("row.*")
