@@ -11,10 +11,17 @@ from stratus.llm.tables import read_table, store
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the sample resembling the labelled good ones does not take go; rows without an id stay."""
-    scores = importance.resample(docs, read_table(spark, sf_dir, "labels"))
-    rejected = scores.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that the sample resembling the labelled good ones does not take go.
+
+    Each row is judged by its own text, with or without an id: rows are found again by id and text.
+    """
+    text_hash = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    scores = importance.resample(docs, read_table(spark, sf_dir, "labels"), mark=text_hash)
+    rejected = scores.filter(~F.col("kept")).select(F.col("doc_id").alias("id"), F.col("mark").alias("hash")).distinct()
+    # The whole row travels as one struct, so its column names cannot clash with the ones used here.
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), text_hash.alias("hash"))
+    same = rows["id"].eqNullSafe(rejected["id"]) & (rows["hash"] == rejected["hash"])
+    return rows.join(rejected, same, "left_anti").select("row.*")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +31,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five words, similarity 0.8) the document with the smallest id stays."""
-    found = ngram_join.near_duplicates(docs)
-    dropped = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return ngram_join.drop_near_duplicates(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
