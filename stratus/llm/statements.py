@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stratus.llm.quality_rules import MAX_HOST_RATE, PLAIN_PRIOR, PRIOR_BOUNDS
 from stratus.llm.queries import URL_RULES
+from stratus.llm.url_filters import TRACKING
 
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACE = r"'[\x20\x09-\x0D]+'"
@@ -28,9 +29,16 @@ _REST = "substr(CASE WHEN contains(u, '://') THEN substr(u, strpos(u, '://') + 3
 OP1 = f"""
 WITH RECURSIVE urls AS (SELECT DISTINCT url AS u FROM pages WHERE url IS NOT NULL),
 split AS (SELECT u, {_HOST} AS host FROM urls),
-parts AS (SELECT u, host, regexp_extract({_REST}, '^[^?#]*') AS path FROM split),
+parts AS (
+  SELECT u, host, regexp_extract({_REST}, '^[^?#]*') AS path,
+    array_to_string(list_filter(string_split(regexp_extract({_REST}, '^[^?#]*\\?([^#]*)', 1), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '{TRACKING}')), '&') AS query
+  FROM split
+),
 addresses AS (
-  SELECT u, host, path, regexp_replace(host, '^www\\.', '') || regexp_replace(path, '/+$', '') AS address FROM parts
+  SELECT u, host, path, regexp_replace(host, '^www\\.', '') || regexp_replace(path, '/+$', '')
+    || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS address
+  FROM parts
 ),
 rules AS (SELECT u, address, {_rule('host', 'path')} AS rule FROM addresses WHERE host <> ''),
 shared AS (

@@ -149,6 +149,26 @@ def database():
     return con
 
 
+def test_url_sql_on_addresses_with_queries(spark, tmp_path):
+    """The SQL knows the same page addresses as the code: queries count, but for tracking parameters."""
+    urls = [
+        "http://x.example.com/de/?q=1", "http://x.example.com/de", "https://www.x.example.com/de/", "http://y.example.com/de?utm_source=a",
+        "http://y.example.com/de", "http://www.y.example.com/DE/", "http://a.org/fr/1?x=1&&gclid=7#top", "http://www.a.org/fr/1/?x=1", "ftp://a.org/fr/1",
+        "http://B.net/?a=1&b=2", "http://www.b.net/?b=2&a=1", "http://www.example.net/en/?p", "http://example.net/en", "http://c.com/?", "http://c.com",
+        "c.com/de", None, "", "http://", "http:///de", "http://d.com?fbclid=1#x://y", "http://www.d.com#", "http://e.com/a?u=http://f.net/b",
+    ]
+    rows = [(i, u, "") for i, u in enumerate(urls + urls[:3])]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    cursor = con.execute(STATEMENTS["op1_url_filters"])
+    columns = [d[0] for d in cursor.description]
+    got = [tuple(r) for r in entrypoint.queries()["op1_url_filters"](spark, str(tmp_path)).select(columns).collect()]
+    assert sorted(got, key=repr) == sorted(cursor.fetchall(), key=repr)
+    verdicts = {r[0]: r[-1] for r in (tuple(x) for x in got)}
+    assert len(verdicts) == len(rows)
+
+
 @pytest.mark.parametrize("name", list(STATEMENTS))
 def test_registered_query(spark, database, name):
     cursor = database.execute(STATEMENTS[name])
