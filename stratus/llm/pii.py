@@ -14,6 +14,14 @@ from stratus.llm.columns import bind
 ROUNDS = 8
 #: How cards are written as a rule: in one, by fours with or without three more, or 4-6-5 and 4-6-4.
 CARD_LAYOUT = r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9A-Za-z])"
+#: How the numbers of card issuers begin, and how long they are; four digits tell the issuer.
+ISSUERS = (
+    "^(?:4(?:[0-9]{15}|[0-9]{18})|(?:5[1-5][0-9]{2}|222[1-9]|22[3-9][0-9]|2[3-6][0-9]{2}|27[01][0-9]|2720)[0-9]{12}"
+    "|3[47][0-9]{13}|3(?:0[0-5]|[68][0-9]|9[0-9])[0-9]{11}|(?:6011|64[4-9][0-9]|65[0-9]{2}|62[0-9]{2}|352[89]|35[3-8][0-9])[0-9]{12,15}"
+    "|(?:5018|5020|5038|5893|6304|6759|676[1-3])[0-9]{9,15})$"
+)
+#: How the first group of a card or an IBAN begins, and a group of four digits.
+HEAD, FOUR = "^[ -]?(?:[A-Z]{2}[0-9]{2}|[2-6])", "^[ -]?[0-9]{4}$"
 DIGITS = "0123456789"
 HEX = "0123456789abcdef"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -25,7 +33,7 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "access_key": r"(?<![A-Za-z0-9])A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "hex_secret": r"(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",
-    "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])(?!\.[0-9])",
+    "ip": r"(?<![0-9.])(?<![Vv]ersion )(?<![Rr]elease )(?<![Bb]uild )(?<![Vv]er )(?<![Vv]er\. )(?<![Vv])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])(?!\.[0-9])",
     "date": r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}"
             r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -194,15 +202,22 @@ def _phone(m: Column, key: str) -> Column:
     return F.concat(code, _permuted_class(F.substr(m, F.length(code) + 1), DIGITS, key, "phone"))
 
 
+def is_card(digits: Column) -> Column:
+    """Of an issuer, as long as its numbers are, and with a right check digit."""
+    return digits.rlike(ISSUERS) & F.call_function("luhn_check", digits)
+
+
 def _card(m: Column, key: str) -> Column:
+    """The issuer's four digits stay, so the pseudonym is a number of the same issuer."""
     digits = only(m, DIGITS)
-    body = permute_text(F.substr(digits, F.lit(1), F.length(digits) - 1), DIGITS, key, "card")
+    body = permute_text(F.substr(digits, F.lit(5), F.length(digits) - 5), DIGITS, key, "card")
 
     def checked(new: Column) -> Column:
-        valid = F.filter(F.array(*[F.lit(d) for d in DIGITS]), lambda d: F.call_function("luhn_check", F.concat(new, d)))
-        return F.concat(new, F.get(valid, F.lit(0)))
+        whole = F.concat(F.substr(digits, F.lit(1), F.lit(4)), new)
+        valid = F.filter(F.array(*[F.lit(d) for d in DIGITS]), lambda d: F.call_function("luhn_check", F.concat(whole, d)))
+        return F.concat(whole, F.get(valid, F.lit(0)))
 
-    return F.when(F.call_function("luhn_check", digits), put_back(m, DIGITS, bind(body, checked)))
+    return F.when(is_card(digits), put_back(m, DIGITS, bind(body, checked)))
 
 
 def _access_key(m: Column, key: str) -> Column:
@@ -241,7 +256,9 @@ def replace_in_run(run: Column, key: str, kinds: tuple[str, ...]) -> Column:
     """A run of groups with every valid stretch of whole groups replaced, from left to right, the longest first.
 
     A card that is not the whole run has at least three digits in each group, else numbers of a table would too often
-    make one by chance. A stretch in an unusual layout gives way to one in a usual layout that begins within it.
+    make one by chance. For the same reason a card of groups of four has at most one other group of four beside it (a year,
+    say) that is in no value itself: longer rows are of years or codes. A stretch in an unusual layout gives way to one in a usual layout that
+    begins within it. Only groups that an issuer's number or an IBAN can begin with are looked at closely.
     """
     usual = f"^(?:{CARD_LAYOUT}|[A-Z].*)$"
 
@@ -250,38 +267,57 @@ def replace_in_run(run: Column, key: str, kinds: tuple[str, ...]) -> Column:
             text = F.ltrim(F.concat_ws("", F.slice(groups, i + 1, k)), F.lit(" -"))
             return F.struct(k.alias("k"), text.alias("text"))
 
+        def fits(x: Column) -> Column:
+            apart = (x["k"] == F.size(groups)) | x["text"].rlike("^(?:[A-Z]{2}[0-9]{2}|[0-9]{3,}(?:[ -][0-9]{3,})*$)")
+            return F.length(x["text"]).between(13, 45) & apart & (x["text"].rlike("[A-Z]") | is_card(only(x["text"], DIGITS)))
+
         def renamed(x: Column) -> Column:
             return F.struct(x["k"].alias("k"), x["text"].rlike(usual).alias("usual"), pseudonym(x["text"], key, kinds).alias("new"))
 
         longest = F.least(F.lit(MAX_GROUPS), F.size(groups) - i)
         every = F.transform(F.sequence(longest, F.lit(1), F.lit(-1)), stretch)
-        fit = F.filter(every, lambda x: F.length(x["text"]).between(13, 45) & (
-            (x["k"] == F.size(groups)) | x["text"].rlike("^(?:[A-Z]{2}[0-9]{2}|[0-9]{3,}(?:[ -][0-9]{3,})*$)")
-        ))
-        return bind(
-            F.filter(F.transform(fit, renamed), lambda x: x["new"].isNotNull()),
+        found = bind(
+            F.filter(F.transform(F.filter(every, fits), renamed), lambda x: x["new"].isNotNull()),
             lambda valid: F.coalesce(F.get(F.filter(valid, lambda x: x["usual"]), F.lit(0)), F.get(valid, F.lit(0))),
         )
+        return F.when(F.get(groups, i).rlike(HEAD), found)
 
     def joined(x: Column) -> Column:
         groups, found = x["groups"], x["found"]
-
-        def step(acc: Column, i: Column) -> Column:
-            def put(here: Column) -> Column:
-                within = F.slice(found, i + 2, F.coalesce(here["k"] - 1, F.lit(0)))
-                taken = (i >= acc["next"]) & here["new"].isNotNull() & (
-                    here["usual"] | ~F.exists(within, lambda y: F.coalesce(y["usual"], F.lit(False)))
-                )
-                mark = F.regexp_extract(F.get(groups, i), "^[ -]?", 0)
-                written = F.when(taken, F.concat(mark, here["new"])).when(i < acc["next"], "").otherwise(F.get(groups, i))
-                return F.struct(
-                    F.when(taken, i + here["k"]).otherwise(acc["next"]).alias("next"), F.concat(acc["out"], written).alias("out")
-                )
-
-            return bind(F.get(found, i), put)
-
-        start = F.struct(F.lit(0).alias("next"), F.lit("").alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, step, lambda acc: acc["out"])
+        placed = F.transform(found, lambda f, i: F.struct(i.alias("i"), f["k"].alias("k"), f["usual"].alias("usual"), f["new"].alias("new")))
+
+        def is_four(i: Column) -> Column:
+            return F.coalesce(F.get(groups, i).rlike(FOUR), F.lit(False))
+
+        def step(acc: Column, hit: Column) -> Column:
+            i, end = hit["i"], hit["i"] + hit["k"]
+            within = F.slice(found, i + 2, hit["k"] - 1)
+            fours = F.forall(F.slice(groups, i + 1, hit["k"]), lambda g: g.rlike(FOUR))
+            free = F.coalesce(F.get(found, end)["new"], F.lit("")) == ""
+            before, after = (i > 0) & (acc["next"] != i) & is_four(i - 1), is_four(end) & free
+            more = before & (i > 1) & (acc["next"] != i - 1) & is_four(i - 2) | after & is_four(end + 1)
+            taken = (i >= acc["next"]) & ~(fours & (before & after | more)) & (
+                hit["usual"] | ~F.exists(within, lambda y: F.coalesce(y["usual"], F.lit(False)))
+            )
+            return F.struct(
+                F.when(taken, end).otherwise(acc["next"]).alias("next"),
+                F.when(taken, F.concat(acc["taken"], F.array(hit))).otherwise(acc["taken"]).alias("taken"),
+            )
+
+        def between(start: Column, end: Column) -> Column:
+            return F.concat_ws("", F.slice(groups, start + 1, F.greatest(end - start, F.lit(0))))
+
+        def written(acc: Column) -> Column:
+            def piece(hit: Column, j: Column) -> Column:
+                before = F.get(acc["taken"], j - 1)
+                start = F.when(j == 0, 0).otherwise(before["i"] + before["k"])
+                mark = F.regexp_extract(F.get(groups, hit["i"]), "^[ -]?", 0)
+                return F.concat(between(start, hit["i"]), mark, hit["new"])
+
+            return F.concat_ws("", F.transform(acc["taken"], piece), between(acc["next"], F.size(groups)))
+
+        hits = F.filter(placed, lambda hit: hit["new"].isNotNull())
+        return bind(hits, lambda h: F.aggregate(h, F.struct(F.lit(0).alias("next"), F.slice(h, 1, 0).alias("taken")), step, written))
 
     def searched(groups: Column) -> Column:
         found = F.transform(F.sequence(F.lit(0), F.size(groups) - 1), lambda i: best(groups, i))
@@ -317,7 +353,7 @@ def pseudonymise_documents(
 ) -> DataFrame:
     """``docs`` with the values in ``text`` replaced; rows, other columns and their order are unchanged.
 
-    Numbers must be valid to count (Luhn sum of cards, check digits of IBANs, octets, social security ranges, days of
+    Numbers must be valid to count (issuer, length and Luhn sum of cards, check digits of IBANs, octets, social security ranges, days of
     the calendar from 1700 to 2099); a look-alike stays as it is. Cards and IBANs are also found where more groups of
     digits or capitals stand before or after them, which stay; see ``replace_in_run``. Pseudonyms are valid in the same way and keep
     separators, lengths and letter case. Null and empty texts stay; no rows in, no rows out.
