@@ -215,7 +215,7 @@ def rule_truths(facts: DataFrame) -> DataFrame:
 
 
 def held_rule_alerts(samples: DataFrame, step: float = 60, slice_seconds: float = 86_400) -> DataFrame:
-    """Periods in which a rule was true long enough, for all rules in one pass, absences included.
+    """Periods in which a rule was true long enough, for all rules in one pass, as far as their series report.
 
     The facts feed several branches and are stored once; they hold a few rows
     per series and step, whatever the number of samples.
@@ -224,10 +224,9 @@ def held_rule_alerts(samples: DataFrame, step: float = 60, slice_seconds: float
     keys = ["alertname", "severity", "component", "hold_seconds", *labels_of(samples)]
     runs = run_lengths(rule_truths(facts), keys, "at", F.col("truth"), "at", slice_seconds)
     held = seconds_between("started_at", "ended_at")
-    present = runs.where(F.col("state") & (held >= F.col("hold_seconds"))).select(
+    return runs.where(F.col("state") & (held >= F.col("hold_seconds"))).select(
         "alertname", "severity", "component", *labels_of(samples), "started_at", "ended_at", "samples"
     )
-    return present.unionByName(held_absences(samples, step).withColumnRenamed("evaluations", "samples"))
 
 
 def _expected(samples: DataFrame) -> DataFrame:
@@ -269,6 +268,12 @@ def held_absences(samples: DataFrame, step: float = 60, lookback_seconds: float
     return named.withColumns({**labels, "instance": F.nullif("instance", F.lit(""))}).select(*columns)
 
 
+def all_rule_alerts(samples: DataFrame, step: float = 60, slice_seconds: float = 86_400) -> DataFrame:
+    """``held_rule_alerts`` and ``held_absences`` together: everything the shipped rules fire."""
+    gone = held_absences(samples, step).withColumnRenamed("evaluations", "samples")
+    return held_rule_alerts(samples, step, slice_seconds).unionByName(gone)
+
+
 def absence_alerts(samples: DataFrame, now: Column, lookback_seconds: float = LOOKBACK) -> DataFrame:
     """Rules whose series has no sample in the lookback before ``now``, whether held or not."""
     expected = _expected(samples).select("alertname", "name", "instance")

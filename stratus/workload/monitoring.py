@@ -610,7 +610,7 @@ SELECT alertname, severity, component, instance, device, cast(NULL AS varchar) A
 """))
 def all_rules(spark, sf_dir):
     """All rules over all samples, held for their required time."""
-    return alert_rules.held_rule_alerts(views.rule_samples(spark, sf_dir))
+    return alert_rules.all_rule_alerts(views.rule_samples(spark, sf_dir))
 
 
 @query("absent_rules", with_views("fast", "samples", """

@@ -89,7 +89,7 @@ def test_a_stopped_series_fires_in_the_shipped_rules(spark):
     ]
     down = ("AirflowSchedulerDown", "critical", "scheduler", None)
     assert sorted(fired) == [(*down, at(1_440), at(1_740)), (*down, at(3_240), at(3_960))]
-    all_alerts = alert_rules.held_rule_alerts(samples)
+    all_alerts = alert_rules.all_rule_alerts(samples)
     assert sorted(
         (r.started_at, r.ended_at, r.samples) for r in all_alerts.where("alertname = 'AirflowSchedulerDown' AND instance IS NULL").collect()
     ) == [(at(1_440), at(1_740), 6), (at(3_240), at(3_960), 13)]
