@@ -69,3 +69,26 @@ def profile_report(parts: DataFrame) -> DataFrame:
         F.when(F.col("ranks").isNotNull(), F.try_divide("total", numbers)).alias("mean"),
         *[_quantile(F.col("ranks"), q).alias(f"p{round(100 * q)}") for q in QUANTILES],
     )
+
+
+def rank_around(value: Column, point: Column) -> Column:
+    """How many values lie below and up to ``point`` and the nearest ones on both sides: one aggregate of fixed width."""
+    return F.struct(
+        F.count(value).alias("n"), F.count_if(value < point).alias("below"), F.count_if(value <= point).alias("upto"),
+        F.max(F.when(value < point, value)).alias("before"), F.min(F.when(value > point, value)).alias("after"),
+    )
+
+
+def within_ranks(around: Column, point: Column, low: float, high: float) -> Column:
+    """Whether ``point`` lies between the exact percentiles ``low`` and ``high`` of the values it was counted against.
+
+    A percentile is put together from the two values at its place. Only their order against ``point`` matters, so any
+    value further away than the nearest one may stand for it, and no task ever holds the values themselves.
+    """
+    def percentile(share: float) -> Column:
+        place = (around["n"] - 1) * F.lit(share)
+        lower, upper = F.floor(place), F.ceil(place)
+        at = [F.when(i < around["below"], around["before"]).when(i < around["upto"], point).otherwise(around["after"]) for i in (lower, upper)]
+        return F.when(at[0] == at[1], at[0]).otherwise((upper - place) * at[0] + (place - lower) * at[1])
+
+    return point.between(percentile(low), percentile(high))

@@ -313,17 +313,19 @@ def profile_by_load(spark, sf_dir):
     for load in years:
         table.commit(f"year={load}", profiles.profile_parts(rows.where(year.eqNullSafe(F.lit(load))), list(PROFILED)))
     report = profiles.profile_report(table.rows())
+    medians = {r["column"]: r["p50"] for r in report.select("column", "p50").collect()}  # one row per column
 
     exact, held = [], []
     for i, (c, kind) in enumerate(PROFILED.items()):
-        median = F.col(c).cast("double")
-        borders = F.percentile(median, F.array(*[F.lit(0.5 + e) for e in (-profiles.RANK_ERROR, profiles.RANK_ERROR)]))
+        median, within = F.lit(medians.get(c)).cast("double"), F.lit(None).cast("boolean")
         exact += [F.count_distinct(F.col(c)).alias(f"d{i}")]
-        exact += [borders.alias(f"m{i}")] if kind == "number" else [F.lit(None).cast("array<double>").alias(f"m{i}")]
-        held.append(F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("_distinct"), F.col(f"m{i}").alias("_median")))
+        if kind == "number":
+            exact += [profiles.rank_around(F.col(c).cast("double"), median).alias(f"m{i}")]
+            within = profiles.within_ranks(F.col(f"m{i}"), median, 0.5 - profiles.RANK_ERROR, 0.5 + profiles.RANK_ERROR)
+        held.append(F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("_distinct"), within.alias("_within")))
     known = rows.agg(*exact).select(F.inline(F.array(*held)))
     error = F.abs(F.col("distinct_estimate") - F.col("_distinct")) <= F.col("_distinct") * profiles.DISTINCT_ERROR
     return report.join(known, "column").select(
         "column", "row_count", "null_count", "min", "max", "min_text", "max_text", pg_round("mean", 6).alias("mean"),
-        error.alias("distinct_within"), F.col("p50").between(F.col("_median")[0], F.col("_median")[1]).alias("median_within"),
+        error.alias("distinct_within"), F.col("_within").alias("median_within"),
     )

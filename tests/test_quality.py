@@ -1,9 +1,12 @@
+import random
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratus.operators import profiles, quality
 from stratus.operators.quality import SUITES, Check, Suite
+from stratus.workload import quality as workload
 
 SCHEMA = "city_name string, temperature_celsius double, humidity_percent double, wind_speed_ms double, measured_at timestamp_ntz"
 AT = datetime(2025, 1, 1)
@@ -187,6 +190,28 @@ def test_profiles_merge_like_one_scan(spark):
     assert (got["nothing"].min_text, got["void"].p50, got["void"].distinct_estimate, got["void"].mean) == (None, None, 0, None)
 
 
+def test_ranks_are_checked_without_holding_values(spark):
+    """The verdict on a rank equals that of exact percentiles, and the registered check gathers no values in a task."""
+    rng, rows, shares = random.Random(3), [], ((0.48, 0.52), (0.25, 0.75))
+    for k in range(300):
+        n = rng.choice((0, 1, 2, 3, 7, 26, 51))
+        values = [rng.choice([None, float("nan"), -0.0, float("inf"), rng.randint(0, 9) / 2, rng.gauss(0, 9)]) for _ in range(n)]
+        known = [v for v in values if v is not None]
+        rows += [(k, rng.choice([None, 0.0, 2.25, *known, *known]), None)]
+        rows += [(k, rows[-1][1], v) for v in values]
+    df = spark.createDataFrame(rows, "k int, point double, v double")
+    exact = [F.percentile("v", F.array(*[F.lit(x) for x in s])).alias(f"e{i}") for i, s in enumerate(shares)]
+    verdicts = df.groupBy("k", "point").agg(profiles.rank_around(F.col("v"), F.col("point")).alias("a"), *exact).select(*[
+        F.array(profiles.within_ranks(F.col("a"), F.col("point"), *s), F.col("point").between(F.col(f"e{i}")[0], F.col(f"e{i}")[1]))
+        for i, s in enumerate(shares)
+    ]).collect()
+    assert len(verdicts) == 300
+    assert all(got == wanted for r in verdicts for got, wanted in r)
+    assert all({got for got, _ in of} == {None, True, False} for of in zip(*verdicts))
+    plan = workload.profile_by_load(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan
+
+
 def test_custom_suite(spark):
     suite = Suite("mine", "staging", "stg_weather_current", (RANGE,))
     results = quality.run_suites(tables(spark, INVALID), suites=(suite,))
