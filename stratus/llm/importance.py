@@ -82,11 +82,11 @@ def fit_models(docs: DataFrame, target: np.ndarray, doc_id: str, text: str) -> n
 def log_ratios(
     docs: DataFrame, ratio: np.ndarray, held_out: np.ndarray, doc_id: str, text: str, seed: int = SEED, mark: Column | None = None
 ) -> DataFrame:
-    """Per input row ``doc_id, n_ngrams, log_ratio, noise, held_out`` and, if one is given, ``mark``.
+    """Per input row ``doc_id, n_ngrams, per_ngram, against, log_ratio, noise, held_out`` and, if one is given, ``mark``.
 
-    The ratio is the mean over the text's n-grams, so that long texts weigh no more than short ones, with what single
-    words say against the text, over its words, counted ``ADVERSE`` times more: the good rest of a long text does not
-    outweigh it.
+    ``per_ngram`` is the mean over the text's n-grams, so that long texts weigh no more than short ones; ``against`` is
+    what single words say against the text, over the number of words and at most 0. ``log_ratio`` is the first with
+    the second counted ``ADVERSE`` times more: the good rest of a long text does not outweigh it.
     """
     adverse = np.minimum(ratio[:WORDS] + TOLERANCE, 0)
     marks = [] if mark is None else ["mark"]
@@ -98,18 +98,21 @@ def log_ratios(
             word = buckets < WORDS
             against = np.bincount(rows[word], weights=adverse[buckets[word]], minlength=n)
             n_words = np.bincount(rows[word], minlength=n)
+            per_ngram, against = total / np.maximum(n_ngrams, 1), against / np.maximum(n_words, 1)
             ids = batch.column("id")
             plain = ids.fill_null(-1).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n_ngrams), pa.array(total / np.maximum(n_ngrams, 1) + ADVERSE * against / np.maximum(n_words, 1)),
+                [ids, pa.array(n_ngrams), pa.array(per_ngram), pa.array(against), pa.array(per_ngram + ADVERSE * against),
                  pa.array(gumbel(plain, seed)), pa.array(np.isin(plain, held_out) & ids.is_valid().to_numpy(zero_copy_only=False)),
                  *[batch.column(m) for m in marks]],
-                ["doc_id", "n_ngrams", "log_ratio", "noise", "held_out", *marks],
+                ["doc_id", "n_ngrams", "per_ngram", "against", "log_ratio", "noise", "held_out", *marks],
             )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), *[mark.cast("string").alias(m) for m in marks])
     return rows.mapInArrow(
-        score, "doc_id long, n_ngrams long, log_ratio double, noise double, held_out boolean" + "".join(f", {m} string" for m in marks)
+        score,
+        "doc_id long, n_ngrams long, per_ngram double, against double, log_ratio double, noise double, held_out boolean"
+        + "".join(f", {m} string" for m in marks),
     )
 
 
@@ -162,10 +165,11 @@ def resample(
     The target is the labelled rows for which ``good`` holds, at most ``MAX_LABELLED`` of them; a quarter is held out of
     the target model. The weight of a document is the probability of its n-grams in the target model over that in the
     model of all documents, per n-gram (``log_ratios``) and tempered. Kept are the rows with the ``k`` largest weights
-    after Gumbel noise: a draw without replacement in proportion to the weights. Both the tempering and, unless the
-    caller gives one, ``k`` follow from the held-out rows: the border is the ratio that the share ``recall`` of them
-    reaches, their median weighs ``SPREAD`` nats more than it, and as many rows are drawn as reach it. A row well above
-    the border is thus drawn for nearly certain, one well below nearly never; near it chance decides. A null or empty
+    after Gumbel noise: a draw without replacement in proportion to the weights. Unless the caller gives ``k``, it is the
+    number of rows that reach two borders, of the ratio per n-gram and of what single words say against the text, each
+    placed so that it turns away half of the share ``1 - recall`` of the held-out rows. The tempering puts the median of
+    the held-out rows' ratios ``SPREAD`` nats above what the share ``recall`` of them reaches: rows well above that are
+    drawn for nearly certain, rows well below nearly never, and near it chance decides. A null or empty
     text has weight 1 (log 0), like a null id it draws noise as any other; rows that repeat an id and text get the same
     key. Without held-out rows nothing tells how many rows resemble the target and all stay. ``mark``, a text of each
     row, is returned with its verdict: by it and the id a caller finds the row again where ids are null or repeated.
@@ -174,12 +178,13 @@ def resample(
     held = (mix(target.view(np.uint64), seed) % np.uint64(4)) == 0
     ratio = fit_models(docs, target[~held], doc_id, text) if len(target) else np.zeros(BUCKETS)
     ratios = store(log_ratios(docs, ratio, target[held], doc_id, text, seed, mark), "ratios")
-    quantiles = F.percentile_approx("log_ratio", [1 - recall, 0.5], 100_000)
-    border, median = ratios.filter("held_out").agg(quantiles).first()[0] or (None, None)
+    measures, share = ("per_ngram", "against"), (1 - recall) / 2
+    quantiles = [F.percentile_approx(m, share, 100_000) for m in measures] + [F.percentile_approx("log_ratio", [1 - recall, 0.5], 100_000)]
+    *borders, spread = ratios.filter("held_out").agg(*quantiles).first()
     # Held-out rows that all weigh the same leave the tempering open; it only has to be finite then.
-    temper = 1.0 if border is None else SPREAD / max(median - border, 1e-3)
+    temper = SPREAD / max(spread[1] - spread[0], 1e-3) if spread else 1.0
     scores = store(keys(ratios, temper), "weights")
-    if k is None and border is not None:
-        k = scores.filter(F.col("log_ratio") >= border).count()
+    if k is None and spread:
+        k = scores.filter((F.col(measures[0]) >= borders[0]) & (F.col(measures[1]) >= borders[1])).count()
     drawn = scores.withColumn("kept", F.lit(True)) if k is None else top_k(scores, k)
-    return drawn.drop("log_ratio", "noise", "held_out", "place")
+    return drawn.drop(*measures, "log_ratio", "noise", "held_out", "place")

@@ -289,11 +289,9 @@ def test_draw_by_importance(spark):
         scale = target.total() / raw.total()
         ratio |= {g: math.log((target[g] + importance.SMOOTHING) / (raw[g] * scale + importance.SMOOTHING)) for g in raw}
 
-    def log_ratio(ws, pairs):
-        against = sum(min(ratio[w] + importance.TOLERANCE, 0) for w in ws) / max(len(ws), 1)
-        return sum(ratio[g] for g in [*ws, *pairs]) / max(len(ws) + len(pairs), 1) + importance.ADVERSE * against
-
-    ratios = {i: log_ratio(*grams[i]) for i, _ in rows}
+    against = {i: sum(min(ratio[w] + importance.TOLERANCE, 0) for w in ws) / max(len(ws), 1) for i, (ws, _) in grams.items()}
+    per_ngram = {i: sum(ratio[g] for g in [*ws, *pairs]) / max(len(ws) + len(pairs), 1) for i, (ws, pairs) in grams.items()}
+    ratios = {i: per_ngram[i] + importance.ADVERSE * against[i] for i in grams}
     known = sorted(ratios[i] for i in held)
     border, median = known[math.ceil(0.002 * len(known)) - 1], known[math.ceil(0.5 * len(known)) - 1]
     temper = importance.SPREAD / (median - border)
@@ -303,8 +301,9 @@ def test_draw_by_importance(spark):
     assert len(got) == len(rows) and weights[1200] == weights[1201] == 0
     assert np.quantile([abs(weights[i] - temper * ratios[i]) for i in ratios], 0.95) < 0.2
     assert all(r["key"] == pytest.approx(r["log_weight"] + noise[r["doc_id"]]) for r in got)
-    k = sum(w >= min(weights[i] for i in held) for w in weights.values())
-    assert 0.3 * len(rows) < k < 0.8 * len(rows)
+    k = sum(r["kept"] for r in got)
+    reach = [all(m[i] >= min(m[j] for j in held) for m in (per_ngram, against)) for i in grams]
+    assert abs(k - sum(reach)) < 0.02 * len(rows) and 0.3 * len(rows) < k < 0.8 * len(rows)
     drawn = {i for _, i in sorted(((r["key"], r["doc_id"]) for r in got), key=lambda x: -x[0])[:k]}
     assert {r["doc_id"] for r in got if r["kept"]} == drawn
     heaviest = {i for _, i in sorted(((w, i) for i, w in weights.items()), key=lambda x: -x[0])[:k]}
